@@ -1,7 +1,8 @@
 """Text cleaning as native column expressions.
 
-Every function takes and returns a ``Column``; nothing here starts a Python
-worker, null stays null, and the same expression serves batch and stream.
+Every function takes a column or its name and returns a ``Column``; nothing here
+starts a Python worker, null stays null, and the same expression serves batch
+and stream.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ HASHTAG_BODY = "#([a-zA-Z0-9_]{1,50})"
 NUMBER_MARK = "[num]"
 
 
+def _as_column(text: Column | str) -> Column:
+    return F.col(text) if isinstance(text, str) else text
+
+
 def is_kept(word: Column) -> Column:
     """True for a token that is neither empty nor a stop word (a hash-set test)."""
     return ~word.isin("", *STOP_WORDS)
@@ -50,12 +55,13 @@ def _keep(words: Column) -> Column:
     return F.filter(words, is_kept)
 
 
-def _drop(text: Column, marker: str, pattern: str) -> Column:
+def _drop(text: Column | str, marker: str, pattern: str) -> Column:
+    text = _as_column(text)
     # The substring test is far cheaper than the pattern and fails on most rows.
     return F.when(text.contains(marker), F.regexp_replace(text, pattern, "")).otherwise(text)
 
 
-def normalise(text: Column) -> Column:
+def normalise(text: Column | str) -> Column:
     """Drop URLs and e-mail addresses, keep letters and digits, mark numbers, lower-case."""
     text = _drop(text, "http", URL)
     text = _drop(text, "@", EMAIL)
@@ -63,31 +69,31 @@ def normalise(text: Column) -> Column:
     return F.regexp_replace(text, "[0-9]+", NUMBER_MARK)
 
 
-def split_words(text: Column) -> Column:
+def split_words(text: Column | str) -> Column:
     """Normalised text as tokens, stop words and empty edge tokens still inside."""
     return F.split(normalise(text), " ")
 
 
-def tokens(text: Column) -> Column:
+def tokens(text: Column | str) -> Column:
     """Model tokens in order, repeats kept."""
     return _keep(split_words(text))
 
 
-def clean(text: Column) -> Column:
+def clean(text: Column | str) -> Column:
     """Text as the classifier sees it.  Not idempotent: ``[num]`` becomes ``num``."""
     return F.array_join(tokens(text), " ")
 
 
-def without_hashtags(text: Column) -> Column:
+def without_hashtags(text: Column | str) -> Column:
     return _drop(text, "#", HASHTAG)
 
 
-def clean_no_hashtag(text: Column) -> Column:
+def clean_no_hashtag(text: Column | str) -> Column:
     """``clean`` after removing whole hashtags."""
     return clean(without_hashtags(text))
 
 
-def eda_split_words(text: Column, lower_first: bool = False) -> Column:
+def eda_split_words(text: Column | str, lower_first: bool = False) -> Column:
     """Exploration tokens before stop-word removal.
 
     Capital letters count as separators (``Hello`` gives ``ello``) unless
@@ -100,33 +106,35 @@ def eda_split_words(text: Column, lower_first: bool = False) -> Column:
     return F.split(F.regexp_replace(text, "[^a-z]+", " "), " ")
 
 
-def eda_tokens(text: Column, lower_first: bool = False) -> Column:
+def eda_tokens(text: Column | str, lower_first: bool = False) -> Column:
     return _keep(eda_split_words(text, lower_first))
 
 
-def clean_eda(text: Column, lower_first: bool = False) -> Column:
+def clean_eda(text: Column | str, lower_first: bool = False) -> Column:
     """Text as the exploratory reports see it."""
     return F.array_join(eda_tokens(text, lower_first), " ")
 
 
-def hashtags(text: Column) -> Column:
+def hashtags(text: Column | str) -> Column:
     """Hashtag bodies in order; a body longer than 50 characters is cut at 50."""
     return F.regexp_extract_all(text, F.lit(HASHTAG_BODY), F.lit(1))
 
 
-def hashtag_text(text: Column) -> Column:
+def hashtag_text(text: Column | str) -> Column:
     return F.array_join(hashtags(text), " ")
 
 
-def split_count(text: Column) -> Column:
+def split_count(text: Column | str) -> Column:
     """Number of pieces after splitting at each blank: 1, not 0, for empty text."""
+    text = _as_column(text)
     return F.when(text.isNotNull(), F.size(F.split(text, " ")))
 
 
-def word_count(text: Column) -> Column:
+def word_count(text: Column | str) -> Column:
     """Number of non-empty words; 0 for empty text, null for null."""
+    text = _as_column(text)
     return F.when(text == "", 0).otherwise(split_count(text))
 
 
-def mentions_phrase(text: Column, phrase: str) -> Column:
-    return text.contains(phrase)
+def mentions_phrase(text: Column | str, phrase: str) -> Column:
+    return _as_column(text).contains(phrase)

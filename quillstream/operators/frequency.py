@@ -20,12 +20,12 @@ def explode_words(df: DataFrame, words: Column, carry: Sequence[str] = (),
     return df.select(*carry, F.explode(words).alias(name)).filter(T.is_kept(F.col(name)))
 
 
-def unigrams(df: DataFrame, cleaned: Column, carry: Sequence[str] = ()) -> DataFrame:
+def unigrams(df: DataFrame, cleaned: Column | str, carry: Sequence[str] = ()) -> DataFrame:
     """Cleaned text split on blanks.  Empty text gives one empty token."""
     return df.select(*carry, F.explode(F.split(cleaned, r"\s+")).alias("unigram"))
 
 
-def vocabulary_size(df: DataFrame, cleaned: Column) -> DataFrame:
+def vocabulary_size(df: DataFrame, cleaned: Column | str) -> DataFrame:
     """Total and distinct token counts from one grouped pass.
 
     Grouping by token first keeps the shuffle at one row per token per task; a
@@ -50,20 +50,20 @@ def frequencies(words: DataFrame, name: str, by: Sequence[str] = (),
     return counted
 
 
-def word_frequency(df: DataFrame, text: Column, by: Sequence[str] = (),
+def word_frequency(df: DataFrame, text: Column | str, by: Sequence[str] = (),
                    ordered: bool = False) -> DataFrame:
     """Word counts over the exploratory cleaning of ``text``, all classes in one pass."""
     words = explode_words(df, T.eda_split_words(text), by)
     return frequencies(words, "word", by, ordered)
 
 
-def model_word_frequency(df: DataFrame, text: Column, by: Sequence[str] = (),
+def model_word_frequency(df: DataFrame, text: Column | str, by: Sequence[str] = (),
                          ordered: bool = False) -> DataFrame:
     """Word counts over the model cleaning of ``text``."""
     return frequencies(explode_words(df, T.split_words(text), by), "word", by, ordered)
 
 
-def hashtag_frequency(df: DataFrame, text: Column, by: Sequence[str] = (),
+def hashtag_frequency(df: DataFrame, text: Column | str, by: Sequence[str] = (),
                       need_words: bool = False, ordered: bool = False) -> DataFrame:
     """Hashtag counts; ``need_words`` skips posts whose cleaned text is empty."""
     if need_words:

@@ -15,14 +15,13 @@ def describe_posts(df: DataFrame, text: str = "tweet") -> DataFrame:
     The counts as first defined are 1 for empty text; ``n_hashtags`` and
     ``n_words`` are the true ones.
     """
-    raw = F.col(text)
     return (
-        df.withColumn("Hashtags", T.hashtag_text(raw))
-        .withColumn("CleanTweet", T.clean_eda(raw))
-        .withColumn("HashtagsCount", T.split_count(F.col("Hashtags")))
-        .withColumn("TweetWordCount", T.split_count(F.col("CleanTweet")))
-        .withColumn("n_hashtags", F.size(T.hashtags(raw)))
-        .withColumn("n_words", T.word_count(F.col("CleanTweet")))
+        df.withColumn("Hashtags", T.hashtag_text(text))
+        .withColumn("CleanTweet", T.clean_eda(text))
+        .withColumn("HashtagsCount", T.split_count("Hashtags"))
+        .withColumn("TweetWordCount", T.split_count("CleanTweet"))
+        .withColumn("n_hashtags", F.size(T.hashtags(text)))
+        .withColumn("n_words", T.word_count("CleanTweet"))
     )
 
 
@@ -39,13 +38,12 @@ def report(train: DataFrame, test: DataFrame, words: int = 20, tags: int = 5) ->
         "duplicates_test": profile.duplicate_total(test, ["tweet"]),
         "class_share": profile.class_share(train_rows),
     }
-    text = F.col("tweet")
     for value, name in ((0, "not_hate"), (1, "hate")):
         part = profile.of_class(train_rows, value)
         tables[f"top_words_{name}"] = frequency.top(
-            frequency.word_frequency(part, text), "word", words
+            frequency.word_frequency(part, "tweet"), "word", words
         )
         tables[f"top_hashtags_{name}"] = frequency.top(
-            frequency.hashtag_frequency(part, text, need_words=value == 1), "hashtag", tags
+            frequency.hashtag_frequency(part, "tweet", need_words=value == 1), "hashtag", tags
         )
     return tables

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 from itertools import product
+from math import ceil
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from quillstream.functions import text as T
 from quillstream.operators import features as feats
 from quillstream.operators import metrics, profile
-from quillstream.operators.layout import spread
 
 
 @dataclass(frozen=True)
@@ -47,6 +47,11 @@ GRID = {
 }
 
 
+# Tokens one task of a fit should hold: some 50 MB of index/value pairs, well
+# above the gradient vector (8 bytes per hashed term) it sends in every round.
+TOKENS_PER_TASK = 4_000_000
+
+
 def prepare(raw: DataFrame) -> DataFrame:
     """Usable, distinct labelled posts (``id``, ``raw_tweet``, ``tweet``, ``label``).
 
@@ -54,10 +59,10 @@ def prepare(raw: DataFrame) -> DataFrame:
     """
     usable = profile.drop_nulls(raw.select("id", "tweet", "label"), ["tweet", "label"])
     distinct = profile.drop_duplicates(usable, ["tweet", "label"], "id")
-    return spread(distinct).select(
+    return distinct.select(
         "id",
         F.col("tweet").alias("raw_tweet"),
-        T.clean(F.col("tweet")).alias("tweet"),
+        T.clean("tweet").alias("tweet"),
         "label",
     )
 
@@ -76,6 +81,19 @@ def logistic(settings: FitSettings) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol="label", **asdict(settings))
 
 
+def counted_terms(prepared: DataFrame, num_features: int) -> DataFrame:
+    """Hashed counts of prepared rows, with the number of tokens beside them."""
+    return feats.term_counts(prepared, num_features).select(
+        "id", "label", "rawFeatures", F.size("words").alias("n_words")
+    )
+
+
+def tasks_for(counted: DataFrame) -> int:
+    """Number of tasks that fits the data; more would only send more gradients."""
+    tokens = counted.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    return max(1, ceil(tokens / TOKENS_PER_TASK))
+
+
 def fit(prepared: DataFrame, settings: FitSettings = CHOSEN,
         num_features: int = feats.NUM_FEATURES, hold_out: bool = True) -> PipelineModel:
     """Fit the whole pipeline: tokenizer, hashed counts, document frequencies, classifier.
@@ -84,15 +102,14 @@ def fit(prepared: DataFrame, settings: FitSettings = CHOSEN,
     classifier from the training part (or from all rows without ``hold_out``).
     Text is cleaned and hashed once; only hashed counts are kept for the passes.
     """
-    counted = feats.class_weights(
-        feats.term_counts(prepared, num_features).select("id", "label", "rawFeatures")
-    )
-    with kept(counted) as counted:
+    with kept(counted_terms(prepared, num_features)) as counted:
+        tasks = tasks_for(counted)
         idf_model = feats.idf().fit(counted)
-        rows = idf_model.transform(counted)
+        rows = feats.class_weights(idf_model.transform(counted), over=counted)
         if hold_out:
             rows, _ = feats.split(rows)
-        classifier = logistic(settings).fit(rows.select("label", "features", settings.weightCol))
+        rows = rows.select("label", "features", settings.weightCol).coalesce(tasks)
+        classifier = logistic(settings).fit(rows)
     return PipelineModel(
         [feats.tokenizer(), feats.hashing_tf(num_features), idf_model, classifier]
     )
@@ -124,15 +141,14 @@ def grid_search(prepared: DataFrame, grid: list[FitSettings] | None = None,
     """
     grid = grid or settings_grid()
     spark = prepared.sparkSession
-    counted = feats.class_weights(
-        feats.term_counts(prepared, num_features).select("id", "label", "rawFeatures")
-    )
-    train, _ = feats.split(counted)
+    train, _ = feats.split(counted_terms(prepared, num_features))
     with kept(train) as train:
+        tasks = tasks_for(train)
         fit_part = train.filter(~is_validation(F.col("id")))
         idf_model = feats.idf().fit(fit_part)
-        columns = ["label", "features", "weight", "no_weight"]
-        with kept(idf_model.transform(fit_part).select(columns)) as fit_rows:
+        weighted = feats.class_weights(idf_model.transform(fit_part), over=fit_part)
+        weighted = weighted.select("label", "features", "weight", "no_weight").coalesce(tasks)
+        with kept(weighted) as fit_rows:
             held = idf_model.transform(train.filter(is_validation(F.col("id"))))
 
             def run(settings: FitSettings) -> tuple:

@@ -17,6 +17,11 @@ BASE_CONF = {
 }
 
 
+# A gradient over 262,144 terms is a 2 MB array.  With small G1 regions each one
+# is allocated outside the young generation; large regions avoid that.
+LARGE_REGIONS = "-XX:G1HeapRegionSize=32m"
+
+
 def build_session(
     app: str = "quillstream",
     master: str | None = None,
@@ -45,6 +50,7 @@ def local_session(app: str = "quillstream-local", cores: str = "*",
         shuffle_partitions=shuffle_partitions,
         conf={
             "spark.driver.memory": memory,
+            "spark.driver.extraJavaOptions": LARGE_REGIONS,
             "spark.ui.enabled": "false",
             "spark.driver.host": "127.0.0.1",
             "spark.driver.bindAddress": "127.0.0.1",

@@ -12,16 +12,17 @@ from quillstream.functions.keys import content_id
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.TRAIN,
-             delimiter: str = ",", infer: bool = False) -> DataFrame:
+             delimiter: str = ",", infer: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV with a header line.
 
-    Give a schema for large inputs; ``infer=True`` costs an extra pass over the
-    files.  Fields may hold quotes, delimiters and line breaks.
+    A given schema saves the extra pass that ``infer=True`` costs.  Files whose
+    fields hold line breaks need ``multi_line``; they cannot be split, so one
+    file is one task.
     """
     reader = (
         spark.read.option("header", True)
         .option("delimiter", delimiter)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
     )
     if infer:
@@ -29,14 +30,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas
     return reader.schema(schema).csv(path)
 
 
-def read_csv_lines(spark: SparkSession, path: str,
-                   schema: StructType = schemas.TRAIN) -> DataFrame:
-    """CSV with one record per line, which Spark can split inside a file."""
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("escape", '"').mode("errorifexists").csv(path)
+    """CSV with a header line; blanks at field edges are kept."""
+    (
+        df.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def read_sample_map(spark: SparkSession, path: str) -> DataFrame:
