@@ -54,19 +54,19 @@ def document_frequency(df: DataFrame, tokens: Column) -> DataFrame:
 def tfidf_terms(df: DataFrame, tokens: Column, id_col: str = "id") -> DataFrame:
     """Exact (unhashed) TF-IDF weight per document and word.
 
-    Documents are placed by id before they are exploded, which moves their text
-    once and lets the per-document count run without a further shuffle.  The
-    join by word is left to AQE: it broadcasts a small vocabulary and splits the
-    partition of a word that fills a large share of the rows.
+    Rows are placed by id before their text is exploded: the text crosses the
+    network once, in its smallest form, and the count per document and word then
+    needs no further shuffle.  The join by word is left to AQE, which broadcasts
+    a small vocabulary and splits the partition of a word that fills a large
+    share of the rows.
     """
-    placed = df.select(id_col, tokens.alias("_tokens")).repartition(id_col)
     counts = (
-        placed.select(id_col, F.explode("_tokens").alias("word"))
+        df.repartition(id_col)
+        .select(id_col, F.explode(tokens).alias("word"))
         .groupBy(id_col, "word")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    idf_table = document_frequency(df, tokens)
-    return counts.join(idf_table, "word").select(
+    return counts.join(document_frequency(df, tokens), "word").select(
         id_col, "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
 

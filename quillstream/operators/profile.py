@@ -86,15 +86,17 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFram
 
     Plain ``dropDuplicates`` keeps whichever row arrives first.  Copies are
     merged inside each task before the one shuffle, so a group of copies of any
-    size reaches its reducer as one row per task.
+    size reaches its reducer as one row per task.  The leading hash decides
+    almost every comparison when Spark groups by sorting; the keys behind it
+    keep the result exact.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != id_col]
+    groups = df.groupBy(_digest(keys).alias("_digest"), *keys)
     if rest:
-        kept = df.groupBy(*keys).agg(F.min(F.struct(id_col, *rest)).alias("_row"))
-        kept = kept.select(*keys, "_row.*")
+        kept = groups.agg(F.min(F.struct(id_col, *rest)).alias("_row")).select(*keys, "_row.*")
     else:
-        kept = df.groupBy(*keys).agg(F.min(id_col).alias(id_col))
+        kept = groups.agg(F.min(id_col).alias(id_col))
     return kept.select(*df.columns)
 
 

@@ -14,6 +14,8 @@ BASE_CONF = {
     # Streaming state lives off-heap and on disk instead of in the task heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each batch then uploads its changes, not a snapshot of all state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillstream.functions.dates import parse_stamp
-from quillstream.operators import frequency
+from quillstream.operators.layout import spread
 from quillstream.plans import scoring
 from quillstream.sources import queue, tables
 
@@ -55,7 +55,7 @@ def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint:
     """Clean and score posts, then write scored posts, word rows and low-confidence posts."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scoring.write_results(scoring.predict(batch, model, idf), root, batch_id)
+        scoring.write_results(scoring.predict(spread(batch), model, idf), root, batch_id)
 
     return _start(posts, handle, checkpoint)
 
