@@ -63,7 +63,8 @@ def main() -> None:
     model = models[-1]
 
     cleaned = prepared.select("id", "tweet", "label")
-    seconds["score"] = timed(lambda: drain(model.transform(cleaned)), 3)
+    output = ["id", "prediction", "probability"]
+    seconds["score"] = timed(lambda: drain(model.transform(cleaned).select(output)), 3)
     seconds["evaluate"] = timed(lambda: drain(training.evaluate(model, prepared)), 2)
     prepared.unpersist()
 

@@ -14,14 +14,21 @@ from quillstream.sources import tables
 
 
 def clean_posts(posts: DataFrame) -> DataFrame:
-    """Posts with both cleaned texts; the raw text stays in ``raw_tweet``."""
-    raw = F.col("tweet")
-    return posts.filter(raw.isNotNull()).select(
-        "id",
-        raw.alias("raw_tweet"),
-        T.clean_no_hashtag(raw).alias("tweet_wo_hashtag"),
-        T.clean(raw).alias("tweet"),
-        "time_stamp",
+    """Posts with both cleaned texts; the raw text stays in ``raw_tweet``.
+
+    Most posts carry no hashtag, and their second cleaned text is the first one.
+    """
+    raw = F.col("raw_tweet")
+    return (
+        posts.filter("tweet IS NOT NULL")
+        .select("id", F.col("tweet").alias("raw_tweet"), "time_stamp")
+        .withColumn("tweet", T.clean(raw))
+        .select(
+            "id", "raw_tweet",
+            F.when(raw.contains("#"), T.clean_no_hashtag(raw)).otherwise(F.col("tweet"))
+            .alias("tweet_wo_hashtag"),
+            "tweet", "time_stamp",
+        )
     )
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream import schemas
-from quillstream.functions import text as T
 from quillstream.functions.dates import format_stamp, parse_stamp
 from quillstream.operators.layout import spread
-from quillstream.operators.predictions import format_predictions
+from quillstream.plans import scoring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,13 +94,7 @@ def scored(tweet_rows: DataFrame) -> DataFrame:
     It has the shape of classifier output, and SQL can compute the same values,
     so everything after the classifier can be checked exactly.
     """
-    cleaned = tweet_rows.select(
-        "id",
-        F.col("tweet").alias("raw_tweet"),
-        T.clean_no_hashtag("tweet").alias("tweet_wo_hashtag"),
-        T.clean("tweet").alias("tweet"),
-        F.col("created_at").alias("time_stamp"),
-    )
+    cleaned = scoring.clean_posts(posts(tweet_rows))
     chance = _chance(F.col("id"))
     return cleaned.withColumn("probability", F.array(1.0 - chance, chance)).withColumn(
         "prediction", F.when(chance > 0.5, 1.0).otherwise(0.0)
@@ -110,7 +103,4 @@ def scored(tweet_rows: DataFrame) -> DataFrame:
 
 def results(tweet_rows: DataFrame) -> DataFrame:
     """``scored`` rows in result form, with the parsed time."""
-    keep = ("id", "tweet", "tweet_wo_hashtag", "time_stamp", "raw_tweet")
-    return format_predictions(scored(tweet_rows), keep).withColumn(
-        "ts", parse_stamp(F.col("time_stamp"))
-    )
+    return scoring.results(scored(tweet_rows))

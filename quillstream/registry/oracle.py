@@ -164,6 +164,10 @@ ORACLE: dict[str, str] = {
         SELECT 'train' AS table_name, count(*) AS n_rows, 3 AS n_columns
         FROM documents JOIN labels USING (doc_id)
         UNION ALL SELECT 'test', count(*), 2 FROM documents""",
+    "shape_distinct": _over("labeled_docs", """
+        SELECT 'train' AS table_name, count(*) AS n_rows, 3 AS n_columns
+        FROM (SELECT DISTINCT text, label FROM labeled_docs WHERE label IS NOT NULL)
+        UNION ALL SELECT 'test', count(DISTINCT text), 2 FROM documents"""),
     "preview": "SELECT doc_id, text, lang FROM documents ORDER BY doc_id LIMIT 5",
     "describe": _describe("documents", "doc_id", "n_chars") + " UNION ALL "
                 + _describe("labels", "quality", "toxic"),
@@ -273,7 +277,9 @@ ORACLE: dict[str, str] = {
         FROM results r JOIN labels l ON r.id = CAST(l.doc_id AS VARCHAR) WHERE {_FAILED}
         UNION ALL
         SELECT id, raw_tweet, CASE prediction WHEN 'hate' THEN 0 ELSE 1 END, 'flip'
-        FROM results WHERE {_FAILED}"""),
+        FROM results WHERE {_FAILED}
+        UNION ALL
+        SELECT id, raw_tweet, {BUCKET} % 2, 'coin' FROM results WHERE {_FAILED}"""),
     "stream_score": _over("tweets", f"""
         SELECT id, {CLEAN} AS tweet, {CLEAN_WO} AS tweet_wo_hashtag,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_stamp, 1 AS is_classified FROM tweets"""),

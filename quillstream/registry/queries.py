@@ -172,6 +172,17 @@ def shape(spark, sf):
     })
 
 
+@query
+def shape_distinct(spark, sf):
+    """Sizes after dropping copies and rows without a label."""
+    rows = inputs.labeled_documents(spark, sf)
+    train_rows = profile.drop_nulls(
+        profile.drop_duplicates(rows, ["text", "label"], "doc_id"), ["text", "label"]
+    )
+    test_rows = profile.drop_duplicates(rows.select("doc_id", "text"), ["text"], "doc_id")
+    return profile.shapes({"train": train_rows, "test": test_rows})
+
+
 @query
 def preview(spark, sf):
     return profile.preview(
@@ -491,6 +502,16 @@ def score(spark, sf):
     return scored.select("id", "prediction", vector_to_array("probability").alias("probability"))
 
 
+@query
+def score_refit(spark, sf):
+    """Document frequencies taken from the scored posts themselves."""
+    scored = scoring.score(
+        scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf))), chosen_model(spark, sf),
+        idf="refit",
+    )
+    return scored.select("id", "prediction", vector_to_array("probability").alias("probability"))
+
+
 @query
 def format_predictions(spark, sf):
     result = scoring.predict(
@@ -563,9 +584,10 @@ def retrain_input(spark, sf):
     failed = scoring.failed_table(_results(spark, sf))
     joined = retraining.relabel(failed, "join", inputs.annotations(spark, sf))
     flipped = retraining.relabel(failed, "flip")
+    tossed = retraining.relabel(failed, "coin")
     return joined.withColumn("how", F.lit("join")).unionByName(
         flipped.withColumn("how", F.lit("flip"))
-    )
+    ).unionByName(tossed.withColumn("how", F.lit("coin")))
 
 
 @query

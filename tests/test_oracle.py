@@ -22,8 +22,8 @@ def test_equals_sql(spark, con, sf_dir, name):
 
 def test_rows_only_list():
     assert ROWS_ONLY == [
-        "features", "format_predictions", "grid_search", "retrain", "score", "train",
-        "train_baseline",
+        "features", "format_predictions", "grid_search", "retrain", "score", "score_refit",
+        "train", "train_baseline",
     ]
 
 
