@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.functions.keys import hash_bucket
+from quillstream.operators.sizes import MAX_ROWS, join_by_word, stored
 
 # Fixed value: default width of the hashed term space.
 NUM_FEATURES = 262_144
@@ -36,37 +37,40 @@ def fit_features(df: DataFrame, num_features: int = NUM_FEATURES) -> PipelineMod
     return PipelineModel([tokenizer(), hashing_tf(num_features), model])
 
 
+def _with_idf(doc_freq: DataFrame, df: DataFrame) -> DataFrame:
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    return doc_freq.withColumn("idf", F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)))
+
+
 def document_frequency(df: DataFrame, tokens: Column) -> DataFrame:
     """Number of rows holding each word, with ``ln((m+1)/(df+1))`` as ``idf``.
 
     One input row is one document, so repeats are removed inside the row and no
     distinct over (document, word) pairs is shuffled.
     """
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.select(F.explode(F.array_distinct(tokens)).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("doc_freq"))
-        .withColumn("idf", F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)))
-    )
+    words = df.select(F.explode(F.array_distinct(tokens)).alias("word"))
+    return _with_idf(words.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq")), df)
 
 
-def tfidf_terms(df: DataFrame, tokens: Column, id_col: str = "id") -> DataFrame:
+def tfidf_terms(df: DataFrame, tokens: Column, id_col: str = "id",
+                max_broadcast: int = MAX_ROWS) -> DataFrame:
     """Exact (unhashed) TF-IDF weight per document and word.
 
     Rows are placed by id before their text is exploded: the text crosses the
     network once, in its smallest form, and the count per document and word then
-    needs no further shuffle.  The join by word is left to AQE, which broadcasts
-    a small vocabulary and splits the partition of a word that fills a large
-    share of the rows.
+    needs no further shuffle.  The counts are stored, since cleaning is the
+    dear part, and document frequencies are taken from them.
     """
-    counts = (
+    counts = stored(
         df.repartition(id_col)
         .select(id_col, F.explode(tokens).alias("word"))
         .groupBy(id_col, "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
+        .agg(F.count(F.lit(1)).alias("tf")),
+        "terms",
     )
-    return counts.join(document_frequency(df, tokens), "word").select(
+    doc_freq = counts.groupBy("word").agg(F.count(F.lit(1)).alias("doc_freq"))
+    words = stored(_with_idf(doc_freq, df), "words")
+    return join_by_word(counts, words, "word", "doc_freq", max_broadcast).select(
         id_col, "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
 

@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
+
+from quillstream.operators.sizes import stored
 
 
 def shape(df: DataFrame, name: str) -> DataFrame:
@@ -44,40 +46,56 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
-def _digest(keys: Sequence[str]) -> Column:
+def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
+# Most repeated hashes that are broadcast (8 bytes each).
+MAX_HASHES = 4_000_000
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their counts.
 
-    Texts are long and mostly unique, so they are not shuffled to be counted.
-    The first pass counts 8-byte hashes and keeps those seen twice; only rows
-    with such a hash are then counted by the real keys, which also undoes any
-    hash collision.  A hot group is merged inside each task in both counts, and
-    AQE broadcasts the surviving hashes when small or splits a skewed join.
+    Texts are long and mostly unique, so they are not shuffled to be counted.  A
+    first pass, run at once, stores the 8-byte hashes seen twice.  When they are
+    few enough to broadcast, only rows with such a hash go on; otherwise all do.
+    The count by the real keys then undoes any hash collision.  Both counts
+    merge a hot group inside each task.
     """
     keys = list(keys)
-    repeated = (
-        df.groupBy(_digest(keys).alias("_digest"))
+    repeated = stored(
+        df.groupBy(_hash(keys).alias("_hash"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1")
-        .select("_digest")
-    )
-    candidates = df.select(*keys, _digest(keys).alias("_digest")).join(
-        repeated, "_digest", "left_semi"
+        .select("_hash"),
+        "hashes",
     )
+    rows = df.select(_hash(keys).alias("_hash"), *keys)
+    if repeated.count() <= MAX_HASHES:
+        rows = rows.join(F.broadcast(repeated), "_hash", "left_semi")
     return (
-        candidates.groupBy(*keys)
+        rows.groupBy("_hash", *keys)
         .agg(F.count(F.lit(1)).alias("count"))
         .filter("count > 1")
+        .drop("_hash")
     )
 
 
 def duplicate_total(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number of rows inside duplicate groups; 0 when there are none."""
-    return duplicate_groups(df, keys).agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("duplicate_rows")
+    """Number of rows inside duplicate groups; 0 when there are none.
+
+    Only the size of a group matters here, so each text is stood for by its
+    256-bit digest and one pass with a narrow shuffle does.
+    """
+    narrow = [
+        F.unhex(F.sha2(F.col(k), 256)).alias(k)
+        if isinstance(df.schema[k].dataType, StringType) else F.col(k)
+        for k in keys
+    ]
+    groups = df.select(*narrow).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return groups.filter("n > 1").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows")
     )
 
 
@@ -92,7 +110,7 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFram
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != id_col]
-    groups = df.groupBy(_digest(keys).alias("_digest"), *keys)
+    groups = df.groupBy(_hash(keys).alias("_hash"), *keys)
     if rest:
         kept = groups.agg(F.min(F.struct(id_col, *rest)).alias("_row")).select(*keys, "_row.*")
     else:

@@ -40,20 +40,18 @@ def test_hashed_features_equal_terms_when_no_bucket_is_shared(spark, posts):
     assert hashed == {k: sorted(v) for k, v in terms.items()}
 
 
-def test_word_join_survives_one_hot_word(spark):
-    """One word makes up most rows; no broadcast is allowed, AQE may split."""
+def test_hot_word_and_rare_words_give_the_same_weights(spark):
+    """One word is in every row; with a tiny broadcast bound the rest is shuffled."""
     rows = spark.range(3000).select(
         F.col("id").cast("string").alias("id"),
-        F.concat(F.lit("hot w"), (F.col("id") % 5 + 97).cast("string")).alias("tweet"),
+        F.concat(F.lit("hot w"), (F.col("id") % 97 + 100).cast("string"),
+                 F.when(F.col("id") % 3 == 0, F.repeat(F.lit("x"), 300)).otherwise("")).alias("tweet"),
     )
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        terms = feats.tfidf_terms(rows, F.split("tweet", " "))
-        assert terms.count() == 6000
-        assert terms.filter("word = 'hot'").agg(F.count("*"), F.max("tfidf")).first() == (3000, 0.0)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tokens = F.split("tweet", " ")
+    plain = sorted(map(tuple, feats.tfidf_terms(rows, tokens).collect()))
+    split = sorted(map(tuple, feats.tfidf_terms(rows, tokens, max_broadcast=3).collect()))
+    assert len(plain) == 6000 and split == plain
+    assert {t[3] for t in plain if t[1] == "hot"} == {0.0}
 
 
 def test_split_is_disjoint_complete_and_stable(spark, sf_dir):

@@ -27,6 +27,15 @@ def test_duplicate_groups_against_brute_force(spark):
     assert total == sum(want.values())
 
 
+def test_duplicate_groups_without_a_broadcast(spark, monkeypatch):
+    rows, df = rows_with_hot_group(spark)
+    want = sorted(map(str, profile.duplicate_groups(df, ["text", "label"]).collect()))
+    monkeypatch.setattr(profile, "MAX_HASHES", 0)
+    got = profile.duplicate_groups(df, ["text", "label"])
+    assert sorted(map(str, got.collect())) == want
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_duplicate_total_without_duplicates(spark):
     df = spark.createDataFrame([("a",), ("b",)], "text string")
     assert profile.duplicate_total(df, ["text"]).first()[0] == 0
