@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.functions import text as T
@@ -64,10 +64,15 @@ def model_word_frequency(df: DataFrame, text: Column | str, by: Sequence[str] =
 
 
 def hashtag_frequency(df: DataFrame, text: Column | str, by: Sequence[str] = (),
-                      need_words: bool = False, ordered: bool = False) -> DataFrame:
-    """Hashtag counts; ``need_words`` skips posts whose cleaned text is empty."""
-    if need_words:
-        df = df.filter(F.exists(T.eda_split_words(text), T.is_kept))
+                      need_words: bool | Column = False, ordered: bool = False) -> DataFrame:
+    """Hashtag counts.
+
+    ``need_words`` skips posts whose cleaned text is empty: all of them, or
+    those for which a condition holds.
+    """
+    if need_words is not False:
+        has_words = F.exists(T.eda_split_words(text), T.is_kept)
+        df = df.filter(has_words if need_words is True else ~need_words | has_words)
     tags = df.select(*by, F.explode(T.hashtags(text)).alias("hashtag"))
     return frequencies(tags, "hashtag", by, ordered)
 
@@ -77,6 +82,16 @@ def top(counted: DataFrame, name: str, k: int) -> DataFrame:
     return counted.orderBy(F.desc("frequency"), F.asc(name)).limit(k)
 
 
+def top_per_group(counted: DataFrame, name: str, k: int, by: str) -> DataFrame:
+    """The ``k`` most frequent values of each group, from one pass over the counts.
+
+    Spark applies the limit inside each task before it shuffles, so no task
+    receives a whole group.
+    """
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc("frequency"), F.asc(name)))
+    return counted.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
+
+
 def word_rows(scored: DataFrame) -> DataFrame:
     """One row per word of a scored post, with day key and predicted class.
 

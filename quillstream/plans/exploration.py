@@ -25,25 +25,23 @@ def describe_posts(df: DataFrame, text: str = "tweet") -> DataFrame:
     )
 
 
-def report(train: DataFrame, test: DataFrame, words: int = 20, tags: int = 5) -> dict[str, DataFrame]:
+def report(train: DataFrame, test: DataFrame, n_words: int = 20,
+           n_tags: int = 5) -> dict[str, DataFrame]:
     """The exploratory tables by name; each is lazy."""
     train_rows = profile.drop_nulls(
         profile.drop_duplicates(train, ["tweet", "label"], "id"), ["tweet", "label"]
     )
     test_rows = profile.drop_nulls(profile.drop_duplicates(test, ["tweet"], "id"), ["tweet"])
-    tables = {
+    words = frequency.word_frequency(train_rows, "tweet", ("label",))
+    tags = frequency.hashtag_frequency(
+        train_rows, "tweet", ("label",), need_words=F.col("label") == 1
+    )
+    return {
         "shape": profile.shapes({"train": train, "test": test}),
         "shape_distinct": profile.shapes({"train": train_rows, "test": test_rows}),
         "duplicates_train": profile.duplicate_total(train, ["tweet", "label"]),
         "duplicates_test": profile.duplicate_total(test, ["tweet"]),
         "class_share": profile.class_share(train_rows),
+        "top_words": frequency.top_per_group(words, "word", n_words, "label"),
+        "top_hashtags": frequency.top_per_group(tags, "hashtag", n_tags, "label"),
     }
-    for value, name in ((0, "not_hate"), (1, "hate")):
-        part = profile.of_class(train_rows, value)
-        tables[f"top_words_{name}"] = frequency.top(
-            frequency.word_frequency(part, "tweet"), "word", words
-        )
-        tables[f"top_hashtags_{name}"] = frequency.top(
-            frequency.hashtag_frequency(part, "tweet", need_words=value == 1), "hashtag", tags
-        )
-    return tables

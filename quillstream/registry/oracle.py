@@ -119,6 +119,12 @@ def _class_words(value: int) -> str:
     return f"SELECT {value} AS label, * FROM ({_top(words, 'word', 20)})"
 
 
+def _class_tags(value: int, condition: str) -> str:
+    tags = (f"SELECT unnest({TAGS.format('tweet')}) AS hashtag FROM labeled "
+            f"WHERE label = {value} AND {condition}")
+    return f"SELECT {value} AS label, * FROM ({_top(tags, 'hashtag', 5)})"
+
+
 _TERMS = f"""terms AS (SELECT id, unnest({_tokens('tweet')}) AS word FROM tweets),
 idf AS (
   SELECT word, count(DISTINCT id) AS doc_freq,
@@ -218,6 +224,9 @@ ORACLE: dict[str, str] = {
     "top_words": _over("tweets", _top(
         f"SELECT unnest({_tokens('tweet')}) AS word FROM tweets", "word", 20)),
     "top_words_by_class": _over("labeled", f"{_class_words(0)} UNION ALL {_class_words(1)}"),
+    "top_hashtags_by_class": _over(
+        "labeled", f"{_class_tags(0, 'true')} UNION ALL {_class_tags(1, EDA + ' <> {}')}"
+        .replace("{}", "''")),
     "top_hashtags": _over("tweets", _top(
         f"SELECT unnest({TAGS.format('tweet')}) AS hashtag FROM tweets", "hashtag", 5)),
     "contains_filter": "SELECT doc_id, text FROM documents WHERE contains(text, 'amp')",

@@ -323,14 +323,17 @@ def top_words(spark, sf):
 @query
 def top_words_by_class(spark, sf):
     """The 20 most frequent exploratory words of each class."""
-    rows = inputs.labeled(spark, sf)
-    parts = [
-        frequency.top(
-            frequency.word_frequency(profile.of_class(rows, value), "tweet"), "word", 20
-        ).select(F.lit(value).alias("label"), "word", "frequency")
-        for value in (0, 1)
-    ]
-    return parts[0].unionByName(parts[1])
+    counted = frequency.word_frequency(inputs.labeled(spark, sf), "tweet", ("label",))
+    return frequency.top_per_group(counted, "word", 20, "label")
+
+
+@query
+def top_hashtags_by_class(spark, sf):
+    """The 5 most frequent hashtags of each class; class 1 only counts posts with words."""
+    counted = frequency.hashtag_frequency(
+        inputs.labeled(spark, sf), "tweet", ("label",), need_words=F.col("label") == 1
+    )
+    return frequency.top_per_group(counted, "hashtag", 5, "label")
 
 
 @query

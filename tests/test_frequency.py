@@ -54,3 +54,12 @@ def test_word_rows_and_daily_counts(spark):
     daily = Counter({(str(r.day), r.word): r.frequency
                      for r in frequency.daily_word_frequency(words).collect()})
     assert daily == {("2022-01-11", "one"): 2, ("2022-01-11", "two"): 1, ("2022-11-01", "one"): 1}
+
+
+def test_top_per_group_breaks_ties_by_word(spark):
+    rows = [(g, f"w{i}", i % 4) for g in (0, 1) for i in range(200)]
+    counted = spark.createDataFrame(rows, "label int, word string, frequency long").repartition(6)
+    got = frequency.top_per_group(counted, "word", 3, "label").collect()
+    best = sorted(f"w{i}" for i in range(200) if i % 4 == 3)[:3]
+    for label in (0, 1):
+        assert sorted(r.word for r in got if r.label == label) == best

@@ -97,7 +97,7 @@ def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == scratch_root(spark)
 
 
-@pytest.mark.parametrize("name,size", [("top_words_hate", 20), ("top_hashtags_not_hate", 5)])
+@pytest.mark.parametrize("name,size", [("top_words", 40), ("top_hashtags", 10)])
 def test_exploration_report(spark, sf_dir, name, size):
     train = inputs.labeled(spark, sf_dir).select("id", "tweet", "label")
     report = exploration.report(train, inputs.tweets(spark, sf_dir).select("id", "tweet"))
