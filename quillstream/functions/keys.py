@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 
 def content_id(*parts: Column) -> Column:
-    """Stable row id: a retried or redelivered row gets the same one."""
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """Stable row id: a retried or redelivered row gets the same one.
+
+    Every part is preceded by its length, and a null differs from an empty part, so
+    different rows never hash the same text.
+    """
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    framed = [
+        F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in columns
+    ]
+    return F.sha2(F.concat(*framed), 256)
 
 
 def hash_bucket(key: Column, buckets: int) -> Column:

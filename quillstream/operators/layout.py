@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+# Largest input that may be dealt out anew.
+MAX_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over idle cores before costly per-row work.
 
     A single-file, single-row-group table or a queue with few partitions reads as
     few tasks.  An input that already has a partition per core is returned
-    untouched, so a large table is never shuffled here.  Meant for scans and
-    micro-batches: asking a plan with shuffles for its partitions would run them.
+    untouched, and so is one estimated above ``MAX_BYTES``: a large table is never
+    shuffled here.  Meant for scans and micro-batches: asking a plan with shuffles for
+    its partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > MAX_BYTES or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions.keys import hash_bucket
 from quillstream.functions.labels import class_label
+from quillstream.operators import features as feats
 from quillstream.plans import training
 from quillstream.sources.tables import ModelStore
 
@@ -36,8 +37,14 @@ def relabel(failed: DataFrame, how: str = "join", annotations: DataFrame | None
 
 def retrain(failed: DataFrame, store: ModelStore, how: str = "join",
             annotations: DataFrame | None = None,
-            settings: training.FitSettings = training.CHOSEN, **fit_options) -> int:
-    """Fit on relabelled posts and publish the model as the next version."""
+            settings: training.FitSettings = training.CHOSEN, keep_test: bool = True,
+            **fit_options) -> int:
+    """Fit on relabelled posts and publish the model as the next version.
+
+    ``keep_test`` leaves posts of the test part out, so the new version can be judged on it.
+    """
     rows = training.prepare(relabel(failed, how, annotations))
+    if keep_test:
+        rows, _ = feats.split(rows)
     model = training.fit(rows, settings, hold_out=False, **fit_options)
     return store.save(model)

@@ -142,14 +142,15 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, CAST(id AS BIGINT) % 7 <> 0 AS ok FROM tweets)"""),
     "project_record": _over("tweets", "SELECT id, tweet, created_at AS time_stamp FROM tweets"),
     "to_queue_json": _over("tweets", """
-        SELECT sha256(tweet || '|' || created_at) AS id, tweet AS text, source, created_at
+        SELECT sha256(length(tweet) || ':' || tweet || length(created_at) || ':' || created_at ||
+                      length(source) || ':' || source) AS id, tweet AS text, source, created_at
         FROM tweets"""),
     "sample_k": """SELECT CAST(doc_id AS VARCHAR) AS key, text FROM documents
         ORDER BY md5(CAST(doc_id AS VARCHAR)), key LIMIT 100""",
     "union_demo": """
         SELECT conv_id || '-' || turn AS id, text AS tweet FROM conversations
         UNION ALL
-        SELECT sha256(key || '|' || text) AS id, text AS tweet FROM (
+        SELECT sha256(length(key) || ':' || key || length(text) || ':' || text) AS id, text AS tweet FROM (
           SELECT CAST(doc_id AS VARCHAR) AS key, text FROM documents ORDER BY md5(key), key LIMIT 100)""",
     "select_recent": _over("tweets", """
         SELECT id, tweet, created_at FROM tweets, (SELECT max(ts) AS newest FROM tweets)
@@ -236,7 +237,9 @@ ORACLE: dict[str, str] = {
                CAST(CAST(id AS BIGINT) % 5 = 0 AS INTEGER) AS is_bad FROM tweets"""),
     "day_key": _over("tweets", f"""
         SELECT id, {_DAY_KEY} AS day_key, strftime(ts, '%Y-%m-%d') AS day FROM tweets"""),
-    "make_id": _over("tweets", "SELECT id, sha256(tweet || '|' || created_at) AS key FROM tweets"),
+    "make_id": _over("tweets", """
+        SELECT id, sha256(length(tweet) || ':' || tweet || length(created_at) || ':' || created_at) AS key
+        FROM tweets"""),
     "map_labels": """
         SELECT doc_id, CASE toxic WHEN 1 THEN 'hate' ELSE 'not_hate' END AS label,
                CASE quality WHEN 1 THEN 'hate' ELSE 'not_hate' END AS prediction FROM labels""",

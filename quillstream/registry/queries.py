@@ -44,7 +44,7 @@ def scan_csv(spark, sf):
     path = scratch_dir(spark, "csv")
     one_line = F.regexp_replace("tweet", r"[\r\n]+", " ")
     files.write_csv(
-        inputs.labeled(spark, sf).select("id", one_line.alias("tweet"), "label"), path
+        inputs.labeled(spark, sf).select("label", "id", one_line.alias("tweet")), path
     )
     return files.read_csv(spark, path, schemas.TRAIN)
 
@@ -608,7 +608,8 @@ def retrain(spark, sf):
 @query
 def stream_score(spark, sf):
     root = scratch_dir(spark, "scores")
-    stream = inputs.posts(inputs.stream_tweets(spark, sf))
+    stream = inputs.posts(
+        inputs.stream_tweets(spark, _shuffled_source(spark, sf), maxFilesPerTrigger=2))
     jobs.score_stream(
         stream, chosen_model(spark, sf), root, f"{root}/checkpoint"
     ).awaitTermination()
@@ -619,21 +620,30 @@ def stream_score(spark, sf):
     )
 
 
+def _shuffled_source(spark, sf, copies: int = 1) -> str:
+    """The documents in eight files out of time order, each copy of a document elsewhere."""
+    path = scratch_dir(spark, "shuffled")
+    rows = inputs.table(spark, sf, "documents").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    rows.repartition(8, F.xxhash64("doc_id", "copy")).drop("copy").write.parquet(
+        f"{path}/documents.parquet")
+    return path
+
+
 @query
 def stream_daily_words(spark, sf):
+    """Four batches in no order of time."""
     root = scratch_dir(spark, "daily")
-    stream = inputs.results(inputs.stream_tweets(spark, sf))
-    jobs.daily_words(stream, root, f"{root}/checkpoint").awaitTermination()
+    stream = inputs.stream_tweets(spark, _shuffled_source(spark, sf), maxFilesPerTrigger=2)
+    jobs.daily_words(inputs.results(stream), root, f"{root}/checkpoint").awaitTermination()
     return jobs.read_daily_words(spark, root).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query
 def stream_dedup(spark, sf):
-    """Every post is delivered twice and kept once."""
+    """Every post is delivered twice, in any order, and kept once."""
     root = scratch_dir(spark, "once")
-    twice = inputs.stream_tweets(spark, sf).withColumn(
-        "copy", F.explode(F.array(F.lit(1), F.lit(2)))
-    )
-    once = jobs.once_per_id(inputs.timed(twice)).select("id", "tweet")
-    jobs.append(once, root, "posts", f"{root}/checkpoint").awaitTermination()
-    return tables.read_table(spark, root, "posts")
+    stream = inputs.stream_tweets(spark, _shuffled_source(spark, sf, copies=2), maxFilesPerTrigger=2)
+    posts = inputs.timed(stream).select("id", "tweet", "ts")
+    jobs.keep_once(posts, root, "posts", f"{root}/checkpoint").awaitTermination()
+    return jobs.read_once(spark, root, "posts").select("id", "tweet")

@@ -1,8 +1,6 @@
 """Explicit schemas of the tables that enter and leave the jobs."""
 
 from pyspark.sql.types import (
-    ArrayType,
-    DoubleType,
     FloatType,
     IntegerType,
     StringType,
@@ -38,7 +36,5 @@ WORD_TABLE = _struct(word=StringType(), time=StringType(), prediction=StringType
 FAILED_TABLE = _struct(id=StringType(), tweet=StringType(), raw_tweet=StringType(),
                        prediction=StringType())
 
-PROBABILITY = ArrayType(DoubleType())
-
 # Documents table of the test data, needed as an explicit schema by stream readers.
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,23 +13,58 @@ from quillstream.functions.dates import now_stamp
 from quillstream.functions.keys import content_id
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = schemas.TRAIN,
+def read_csv(spark: SparkSession, path: str, schema: StructType = schemas.TRAIN,
              delimiter: str = ",", infer: bool = False, multi_line: bool = False) -> DataFrame:
-    """CSV with a header line.
+    """CSV with a header line: the columns of ``schema``, found by name in any order.
 
-    A given schema saves the extra pass that ``infer=True`` costs.  Files whose
-    fields hold line breaks need ``multi_line``; they cannot be split, so one
-    file is one task.
+    A missing column is an error, but for ``id``, which is then derived from the content.
+    Rows with a value that does not fit its type are left to ``csv_misfits``.
+    ``infer=True`` returns all columns with guessed types, for one more pass.  Files whose
+    fields hold line breaks need ``multi_line``; they cannot be split, so one file is
+    one task.
     """
-    reader = (
+    if infer:
+        return _csv_reader(spark, delimiter, multi_line).option("inferSchema", True).csv(path)
+    raw, typed = _by_header(spark, path, schema, delimiter, multi_line)
+    return raw.filter(~_misfit(typed)).select(*[c.alias(n) for n, (_, c) in typed.items()])
+
+
+def csv_misfits(spark: SparkSession, path: str, schema: StructType = schemas.TRAIN,
+                delimiter: str = ",", multi_line: bool = False) -> DataFrame:
+    """The rows that ``read_csv`` leaves out, as text: for a quarantine table."""
+    raw, typed = _by_header(spark, path, schema, delimiter, multi_line)
+    return raw.filter(_misfit(typed))
+
+
+def _misfit(typed: dict) -> Column:
+    lost = [source.isNotNull() & value.isNull() for source, value in typed.values()]
+    return reduce(lambda a, b: a | b, lost)
+
+
+def _by_header(spark, path, schema, delimiter, multi_line):
+    """All columns as text, and (source, typed value) of each wanted column."""
+    raw = _csv_reader(spark, delimiter, multi_line).csv(path)
+    missing = [f.name for f in schema if f.name not in raw.columns and f.name != "id"]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; it has {raw.columns}")
+    typed = {}
+    for field in schema:
+        if field.name in raw.columns:
+            source = F.col(f"`{field.name}`")
+            typed[field.name] = (source, source.try_cast(field.dataType))
+        else:
+            others = [F.col(f"`{f.name}`") for f in schema if f.name != "id"]
+            typed[field.name] = (content_id(*others),) * 2
+    return raw, typed
+
+
+def _csv_reader(spark, delimiter, multi_line):
+    return (
         spark.read.option("header", True)
         .option("delimiter", delimiter)
         .option("multiLine", multi_line)
         .option("escape", '"')
     )
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -18,6 +18,7 @@ def kafka_options(brokers: str, topic: str, user: str | None = None,
     """Options of the ``kafka`` format with SASL/SCRAM over TLS when a user is given."""
     options = {"kafka.bootstrap.servers": brokers, ("topic" if writing else "subscribe"): topic}
     if user:
+        user, password = (v.replace("\\", "\\\\").replace('"', '\\"') for v in (user, password or ""))
         module = "org.apache.kafka.common.security.scram.ScramLoginModule"
         options |= {
             "kafka.security.protocol": "SASL_SSL",
@@ -31,7 +32,7 @@ def kafka_options(brokers: str, topic: str, user: str | None = None,
 
 def encode(posts: DataFrame) -> DataFrame:
     """Posts (``text``, ``source``, ``created_at``, optionally ``id``) as JSON ``value`` rows."""
-    derived = content_id(F.col("text"), F.col("created_at"))
+    derived = content_id("text", "created_at", "source")
     ident = F.coalesce("id", derived) if "id" in posts.columns else derived
     return posts.select(
         F.to_json(F.struct(ident.alias("id"), "text", "source", "created_at")).alias("value")
@@ -87,7 +88,7 @@ def is_usable() -> Column:
 def to_posts(decoded: DataFrame) -> DataFrame:
     """Decoded messages as posts; a missing id is derived from the content."""
     return decoded.select(
-        F.coalesce("id", content_id(F.col("text"), F.col("created_at"))).alias("id"),
+        F.coalesce("id", content_id("text", "created_at", "source")).alias("id"),
         F.col("text").alias("tweet"),
         F.col("created_at").alias("time_stamp"),
     )

@@ -7,10 +7,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstream import schemas
+
 CLEAN = "clean_tweets"
 WORDS = "processed_tweets"
 FAILED = "failed_tweets"
 QUARANTINE = "quarantine"
+SCHEMAS = {CLEAN: schemas.CLEAN_TABLE, FAILED: schemas.FAILED_TABLE}
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -24,7 +27,11 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> None:
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All batches of a table, without the batch number."""
-    return spark.read.parquet(f"{root}/{table}").drop("batch")
+    reader = spark.read
+    if table in SCHEMAS:
+        # A schema given once saves reading file footers on every call.
+        reader = reader.schema(SCHEMAS[table])
+    return reader.parquet(f"{root}/{table}").drop("batch")
 
 
 class ModelStore:

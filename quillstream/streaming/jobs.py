@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillstream.functions.dates import parse_stamp
 from quillstream.operators.layout import spread
 from quillstream.plans import scoring
 from quillstream.sources import queue, tables
@@ -52,51 +51,77 @@ def ingest(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
 
 def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint: str,
                  idf: str = "saved") -> StreamingQuery:
-    """Clean and score posts, then write scored posts, word rows and low-confidence posts."""
+    """Clean and score posts, then write scored posts, word rows and low-confidence posts.
+
+    Posts without a text go to ``quarantine_text``, those without a readable time to
+    ``quarantine_time``.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(
+            batch.filter("tweet IS NULL"), root, f"{tables.QUARANTINE}_text", batch_id
+        )
         scoring.write_results(scoring.predict(spread(batch), model, idf), root, batch_id)
 
     return _start(posts, handle, checkpoint)
 
 
-def once_per_id(posts: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop redelivered posts whose copies arrive within ``delay`` of each other.
+def keep_once(posts: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
+    """Write every post once, however often and in whatever order it is delivered.
 
-    State holds ids only and is released behind the watermark.
+    Posts (``id``, ``ts``, ...) are compared with the stored ones of the same day: a
+    redelivered post carries its old time.  No state, so nothing is ever too late.  Posts
+    without an id cannot be told apart and are all kept.
     """
-    return posts.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("day", F.to_date("ts"))
+        named = batch.filter("id IS NOT NULL").dropDuplicates(["id"])
+        if batch_id:
+            stored = batch.sparkSession.read.parquet(f"{root}/{table}").filter(F.col("batch") < batch_id)
+            old = stored.select(F.col("day").cast("date").alias("old_day"), F.col("id").alias("old_id"))
+            named = named.join(old, F.col("day").eqNullSafe(F.col("old_day"))
+                               & (F.col("id") == F.col("old_id")), "left_anti")
+        once = named.unionByName(batch.filter("id IS NULL"))
+        once.write.mode("overwrite").partitionBy("day").parquet(f"{root}/{table}/batch={batch_id}")
+
+    return _start(posts, handle, checkpoint)
+
+
+def read_once(spark, root: str, table: str) -> DataFrame:
+    """The posts that ``keep_once`` has stored."""
+    return tables.read_table(spark, root, table).drop("day")
 
 
-def daily_words(result: DataFrame, root: str, checkpoint: str,
-                delay: str = "1 day") -> StreamingQuery:
-    """Running word counts per day and class, from a stream of scored posts.
+def daily_words(result: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Word counts per day and class, from a stream of scored posts (``ts`` parsed).
 
-    Each batch writes the groups it changed with their new totals; see
-    ``read_daily_words``.  Days behind the watermark leave the state.
+    Each batch writes the counts of its own posts under its id, and reading sums them:
+    exact in any order of arrival, and a replay overwrites itself.  Posts without a
+    readable time go to ``quarantine_time``.
     """
-    counts = (
-        result.withWatermark("ts", delay)
-        .select("ts", "prediction",
-                F.explode(F.split("tweet_wo_hashtag", r"\s+")).alias("word"))
-        .filter("word <> ''")
-        .groupBy(F.window("ts", "1 day"), "prediction", "word")
-        .agg(F.count(F.lit(1)).alias("frequency"))
-        .select(F.to_date("window.start").alias("day"), "prediction", "word", "frequency")
-    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tables.write_batch(batch, root, "daily_words", batch_id)
+        words = batch.filter("ts IS NOT NULL").select(
+            F.to_date("ts").alias("day"), "prediction",
+            F.explode(F.split("tweet_wo_hashtag", r"\s+")).alias("word"),
+        ).filter("word <> ''")
+        counts = words.groupBy("day", "prediction", "word").agg(
+            F.count(F.lit(1)).alias("frequency"))
+        tables.write_batch(counts, root, "daily_words", batch_id)
+        tables.write_batch(
+            batch.filter("ts IS NULL").select("id", "raw_tweet", "time_stamp"),
+            root, f"{tables.QUARANTINE}_time", batch_id)
 
-    return _start(counts, handle, checkpoint, mode="update")
+    return _start(result, handle, checkpoint)
 
 
 def read_daily_words(spark, root: str) -> DataFrame:
-    """Newest total of every group: totals only grow, so the largest one is it."""
+    """Total of every group over all batches."""
     return (
         tables.read_table(spark, root, "daily_words")
         .groupBy("day", "prediction", "word")
-        .agg(F.max("frequency").alias("frequency"))
+        .agg(F.sum("frequency").alias("frequency"))
     )
 
 
@@ -106,7 +131,3 @@ def append(stream: DataFrame, root: str, table: str, checkpoint: str) -> Streami
         stream, lambda batch, batch_id: tables.write_batch(batch, root, table, batch_id), checkpoint
     )
 
-
-def with_time(posts: DataFrame) -> DataFrame:
-    """Adds the parsed time; rows with an unreadable one keep a null."""
-    return posts.withColumn("ts", parse_stamp(F.col("time_stamp")))

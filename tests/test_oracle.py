@@ -4,9 +4,11 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as entry_module
+from quillstream.registry.oracle import ORACLE
+from quillstream.registry.queries import QUERIES
 
-SQL = entry_module.oracle_sql()
-ROWS_ONLY = sorted(set(entry_module.queries()) - set(SQL))
+SQL = ORACLE
+ROWS_ONLY = sorted(set(QUERIES) - set(SQL))
 
 
 @pytest.fixture(scope="module")

@@ -3,6 +3,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from quillstream.functions.keys import content_id
 from quillstream.plans import exploration
 from quillstream.registry import inputs
 from quillstream.scratch import scratch_dir, scratch_root
@@ -19,6 +20,25 @@ def test_csv_keeps_quotes_delimiters_blanks_and_line_breaks(spark):
     assert dict(inferred.dtypes)["label"] == "int"
 
 
+def test_csv_columns_are_found_by_name(spark):
+    path = scratch_dir(spark, "csv")
+    rows = [("0", "fine", "7"), ("x", "misfit", "8"), (None, "no label", "9")]
+    files.write_csv(spark.createDataFrame(rows, "label string, tweet string, extra string"), path)
+    got = {r.tweet: (r.label, len(r.id)) for r in files.read_csv(spark, path).collect()}
+    assert got == {"fine": (0, 64), "no label": (None, 64)}
+    assert [(r.label, r.tweet) for r in files.csv_misfits(spark, path).collect()] == [("x", "misfit")]
+    other = scratch_dir(spark, "csv")
+    files.write_csv(spark.createDataFrame([("1", "t")], "id string, text string"), other)
+    with pytest.raises(ValueError, match="tweet"):
+        files.read_csv(spark, other)
+
+
+def test_content_ids_do_not_run_together(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a|b|c", None), ("", "a|b|c"), (None, "a|b|c")]
+    df = spark.createDataFrame(rows, "x string, y string").select(content_id("x", "y").alias("id"))
+    assert df.distinct().count() == len(rows)
+
+
 def test_messages_round_trip_through_a_queue_of_text_files(spark):
     posts = spark.createDataFrame(
         [("7", 'q "uote"\nline', "web", "2024-01-01T00:00:00.000Z")],

@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from quillstream import schemas
 from quillstream.operators import frequency
 from quillstream.plans import scoring, training
 from quillstream.registry import inputs
@@ -88,6 +91,27 @@ def test_daily_words_over_several_batches_equal_batch(spark, source):
     assert rows(jobs.read_daily_words(spark, root)) == rows(batch)
 
 
+def newest_first(spark, documents):
+    """One file for each row, the newest in the first batch."""
+    path = scratch_dir(spark, "backwards") + "/documents.parquet"
+    for row in sorted(documents, key=lambda r: -r[0]):
+        spark.createDataFrame([row], schemas.DOCUMENTS).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.1)
+    return path.rsplit("/", 1)[0]
+
+
+def test_rows_far_behind_are_kept(spark):
+    documents = [(i, f"word{i} here", "en", "web", 10) for i in (9000, 1, 2)]
+    source = newest_first(spark, documents)
+    root = scratch_dir(spark, "late")
+    jobs.daily_words(inputs.results(stream(spark, source)), root, f"{root}/cp").awaitTermination()
+    batch = frequency.daily_word_frequency(scoring.word_table(inputs.results(inputs.tweets(spark, source))))
+    assert rows(jobs.read_daily_words(spark, root)) == rows(batch)
+    posts = inputs.timed(stream(spark, source)).select("id", "tweet", "ts")
+    jobs.keep_once(posts, root, "posts", f"{root}/cp2").awaitTermination()
+    assert sorted(r.id for r in jobs.read_once(spark, root, "posts").collect()) == ["1", "2", "9000"]
+
+
 def test_redelivered_posts_are_kept_once_across_batches(spark, sf_dir):
     path = scratch_dir(spark, "twice") + "/documents.parquet"
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -95,13 +119,21 @@ def test_redelivered_posts_are_kept_once_across_batches(spark, sf_dir):
         documents.coalesce(1).write.mode("append").parquet(path)
     source = path.rsplit("/", 1)[0]
     root = scratch_dir(spark, "once")
-    once = jobs.once_per_id(inputs.timed(stream(spark, source))).select("id", "tweet")
-    jobs.append(once, root, "posts", f"{root}/cp").awaitTermination()
-    got = tables.read_table(spark, root, "posts")
+    posts = inputs.timed(stream(spark, source)).select("id", "tweet", "ts")
+    jobs.keep_once(posts, root, "posts", f"{root}/cp").awaitTermination()
+    got = jobs.read_once(spark, root, "posts")
     assert got.count() == documents.count()
     assert got.agg(F.count_distinct("id")).first()[0] == documents.count()
 
 
-def test_stream_time_column(spark):
-    df = jobs.with_time(spark.createDataFrame([("2024-01-01T00:00:00.000Z",), ("x",)], "time_stamp string"))
-    assert [r.ts is None for r in df.collect()] == [False, True]
+def test_unusable_rows_are_set_aside(spark, model):
+    path = scratch_dir(spark, "bad")
+    spark.createDataFrame(
+        [("1", "fine", "2024-01-01T00:00:00.000Z"), ("2", None, "2024-01-01T00:00:00.000Z"),
+         ("3", "no time", "soon")], "id string, tweet string, time_stamp string").write.parquet(path)
+    posts = spark.readStream.schema("id string, tweet string, time_stamp string").parquet(path)
+    root = scratch_dir(spark, "scores")
+    jobs.score_stream(posts, model, root, f"{root}/cp").awaitTermination()
+    ids = {t: [r.id for r in tables.read_table(spark, root, t).collect()]
+           for t in (tables.CLEAN, f"{tables.QUARANTINE}_text", f"{tables.QUARANTINE}_time")}
+    assert ids == {tables.CLEAN: ["1"], f"{tables.QUARANTINE}_text": ["2"], f"{tables.QUARANTINE}_time": ["3"]}
