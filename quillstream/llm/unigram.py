@@ -229,15 +229,15 @@ def encode(docs: DataFrame, model: str, column: str = "ids") -> DataFrame:
 def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``rows`` with the text of ``ids`` in ``column``; null ids give null."""
     shared = _loaded(rows, model)
-    place = rows.columns.index(ids)
+    place, names = rows.columns.index(ids), [*rows.columns, column]
 
     def run(batches):
         model_ = shared.value
         for batch in batches:
             texts = [None if x.as_py() is None else model_.decode(x.as_py()) for x in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*rows.columns, column])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
-    return rows.mapInArrow(run, rows.schema.add(column, "string"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(column, T.StringType())]))
 
 
 def digest(docs: DataFrame, model: str) -> DataFrame:
