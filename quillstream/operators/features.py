@@ -31,6 +31,23 @@ def term_counts(df: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     return hashing_tf(num_features).transform(tokenizer().transform(df))
 
 
+def bucket_values(df: DataFrame, vector: str, *keep: str) -> DataFrame:
+    """One row (``keep``, ``bucket``, ``value``) per stored entry of a sparse vector column.
+
+    Sums per bucket then merge inside each task and are shuffled by bucket, where a sum of
+    whole vectors would send buffers as wide as the term space to one reducer.
+    """
+    entries = F.unwrap_udt(vector)
+    pairs = F.arrays_zip(entries["indices"].alias("bucket"), entries["values"].alias("value"))
+    return df.select(*keep, F.inline(pairs).alias("bucket", "value"))
+
+
+def bucket_totals(df: DataFrame, vector: str) -> DataFrame:
+    """Sum of the values and number of documents of every bucket."""
+    return bucket_values(df, vector).groupBy("bucket").agg(
+        F.sum("value").alias("total"), F.count(F.lit(1)).alias("doc_freq"))
+
+
 def fit_features(df: DataFrame, num_features: int = NUM_FEATURES) -> PipelineModel:
     """Tokenizer, hashed counts and fitted document frequencies as one model."""
     model = idf().fit(term_counts(df, num_features))

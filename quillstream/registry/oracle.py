@@ -131,6 +131,40 @@ idf AS (
          ln(((SELECT count(*) FROM tweets) + 1.0)::DOUBLE / (count(DISTINCT id) + 1.0)::DOUBLE) AS idf
   FROM terms GROUP BY word)"""
 
+# Murmur3 (32 bits, seed 42) of every word, as fixed by its published constants.  Words are ASCII
+# here, so their length is that of their bytes.  ``_BLOCK`` reads four bytes, lowest first.
+_MOD = "4294967296::HUGEINT"
+_BLOCK = ("('0x' || substr(h, {0} + 6, 2) || substr(h, {0} + 4, 2) || substr(h, {0} + 2, 2) "
+          "|| substr(h, {0}, 2))::BIGINT::HUGEINT")
+
+
+def _scrambled(block: str) -> str:
+    """A list with the scrambled ``block`` expressions of the list ``block``."""
+    first = f"list_transform({block}, lambda b: b * 3432918353 % {_MOD})"
+    return (f"list_transform({first}, lambda k: "
+            f"(k * 32768 % {_MOD} + k // 131072) * 461845907 % {_MOD})")
+
+
+_BUCKETS = f"""doc_words AS (SELECT id, unnest(string_split({CLEAN}, ' ')) AS word FROM tweets),
+word_bytes AS (
+  SELECT DISTINCT word, length(word) AS n, hex(encode(word)) || '000000' AS h FROM doc_words),
+word_blocks AS (
+  SELECT word, n,
+         {_scrambled(f"list_transform(range(n // 4), lambda i: {_BLOCK.format('(8 * i + 1)')})")} AS whole,
+         {_scrambled(f"[CASE WHEN n % 4 = 0 THEN 0::HUGEINT ELSE {_BLOCK.format('(8 * (n // 4) + 1)')} END]")}[1]
+           AS rest
+  FROM word_bytes),
+folded AS (
+  SELECT word, xor(xor(list_reduce(list_prepend(42::HUGEINT, whole), lambda a, k:
+           ((xor(a, k) * 8192 % {_MOD} + xor(a, k) // 524288) * 5 + 3864292196) % {_MOD}),
+           rest), n::HUGEINT) AS h
+  FROM word_blocks),
+mixed_1 AS (SELECT word, xor(h, h // 65536) * 2246822507 % {_MOD} AS h FROM folded),
+mixed_2 AS (SELECT word, xor(h, h // 8192) * 3266489909 % {_MOD} AS h FROM mixed_1),
+buckets AS (SELECT word, (xor(h, h // 65536) % 262144)::INTEGER AS bucket FROM mixed_2),
+bucket_counts AS (
+  SELECT id, bucket, count(*) AS tf FROM doc_words JOIN buckets USING (word) GROUP BY 1, 2)"""
+
 ORACLE: dict[str, str] = {
     "scan_csv": _over("labeled", r"""SELECT id, regexp_replace(tweet, '[\r\n]+', ' ', 'g') AS tweet,
         label FROM labeled"""),
@@ -243,10 +277,14 @@ ORACLE: dict[str, str] = {
     "map_labels": """
         SELECT doc_id, CASE toxic WHEN 1 THEN 'hate' ELSE 'not_hate' END AS label,
                CASE quality WHEN 1 THEN 'hate' ELSE 'not_hate' END AS prediction FROM labels""",
-    "hashing_tf": _over("tweets", f"""
-        SELECT count(*) AS n_docs,
-               CAST(sum(greatest(len({_tokens('tweet')}), 1)) AS DOUBLE) AS n_tokens,
-               262144 AS n_buckets FROM tweets"""),
+    "hashing_tf": _over("tweets", """
+        SELECT bucket, CAST(sum(tf) AS DOUBLE) AS tokens, count(*) AS doc_freq
+        FROM bucket_counts GROUP BY bucket""", _BUCKETS),
+    "features": _over("tweets", """
+        SELECT bucket, count(*) AS doc_freq,
+               round(sum(tf)::DOUBLE * ln(((SELECT count(*) FROM tweets) + 1.0)::DOUBLE
+                                          / (count(*) + 1.0)::DOUBLE), 3) AS weight
+        FROM bucket_counts GROUP BY bucket""", _BUCKETS),
     "idf_terms": _over("tweets", "SELECT word, doc_freq, round(idf, 6) AS idf FROM idf", _TERMS),
     "tfidf_terms": _over("tweets", """
         SELECT id, word, tf, round(tf * idf, 6) AS tfidf
@@ -266,6 +304,14 @@ ORACLE: dict[str, str] = {
     "model_roundtrip": """
         SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
         FROM documents JOIN labels USING (doc_id)""",
+    "score": _over("tweets", f"SELECT id, {CLEAN} AS tweet, 0::INTEGER AS disagrees FROM tweets"),
+    "format_predictions": _over("tweets", f"""
+        SELECT id, {CLEAN} AS tweet, {CLEAN_WO} AS tweet_wo_hashtag, created_at AS time_stamp,
+               0::INTEGER AS disagrees FROM tweets"""),
+    "score_closed_form": _over("labeled", f"""
+        SELECT id, {CLEAN} AS tweet, CASE WHEN p > 0.5 THEN 'hate' ELSE 'not_hate' END AS prediction,
+               round(CAST(CAST(greatest(p, 1.0::DOUBLE - p) AS FLOAT) AS DOUBLE), 5) AS confidence
+        FROM tweets, (SELECT avg(label) AS p FROM labeled WHERE {BUCKET} % 10 < 8)"""),
     "eval_overall": "WITH " + _BY_CLASS + """
         SELECT round(sum(f1 * n_true) / sum(n_true), 6) AS f1,
                round(sum(precision * n_true) / sum(n_true), 6) AS weighted_precision,
@@ -297,4 +343,5 @@ ORACLE: dict[str, str] = {
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_stamp, 1 AS is_classified FROM tweets"""),
     "stream_dedup": _over("tweets", "SELECT id, tweet FROM tweets"),
 }
+ORACLE["score_refit"] = ORACLE["score"]
 ORACLE["stream_daily_words"] = ORACLE["daily_word_freq"]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -400,36 +401,19 @@ def _hashed(spark, sf):
 
 @query
 def hashing_tf(spark, sf):
-    """Hashed counts keep every token: documents, tokens, and the width of the space."""
+    """Tokens and documents of every bucket."""
     _, counted = _hashed(spark, sf)
-    totals = counted.agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        vector_to_array(Summarizer.sum(counted["rawFeatures"])).alias("total"),
-    )
-    return totals.select(
-        "n_docs",
-        F.aggregate("total", F.lit(0.0), lambda a, x: a + x).alias("n_tokens"),
-        F.size("total").alias("n_buckets"),
-    )
+    return feats.bucket_totals(counted, "rawFeatures").select(
+        "bucket", F.col("total").alias("tokens"), "doc_freq")
 
 
 @query
 def features(spark, sf):
     """Bucket totals of the fitted TF-IDF vectors."""
-    cleaned, counted = _hashed(spark, sf)
+    cleaned, _ = _hashed(spark, sf)
     vectors = feats.fit_features(cleaned).transform(cleaned)
-    summary = vectors.agg(
-        Summarizer.metrics("sum", "numNonZeros").summary(vectors["features"]).alias("s")
-    )
-    buckets = F.arrays_zip(
-        vector_to_array(F.col("s.sum")).alias("weight"),
-        vector_to_array(F.col("s.numNonZeros")).alias("doc_freq"),
-    )
-    return (
-        summary.select(F.posexplode(buckets).alias("bucket", "b"))
-        .select("bucket", "b.weight", F.col("b.doc_freq").cast("bigint").alias("doc_freq"))
-        .filter("weight > 0")
-    )
+    return feats.bucket_totals(vectors, "features").select(
+        "bucket", F.round("total", 3).alias("weight"), "doc_freq")
 
 
 @query
@@ -497,30 +481,84 @@ def grid_search(spark, sf):
     return training.grid_search(_prepared(spark, sf), grid, num_features=2**14)
 
 
+def _recomputed(cleaned: DataFrame, model: PipelineModel, idf: str = "saved") -> DataFrame:
+    """``id`` and ``expected``, the probability of class 1, from single buckets.
+
+    An independent way to the classifier's score: counts joined with coefficients.
+    """
+    tokenizer, counts, idf_model, classifier = model.stages
+    counted = counts.transform(tokenizer.transform(cleaned))
+    coefficients = classifier.coefficients.toArray()
+    used = np.flatnonzero(coefficients)
+    # As many rows as the classifier has coefficients.
+    weights = cleaned.sparkSession.createDataFrame(pd.DataFrame({
+        "bucket": used.astype("int32"), "coefficient": coefficients[used],
+        "idf": idf_model.idf.toArray()[used]}), "bucket int, coefficient double, idf double")
+    if idf == "refit":
+        n_docs = cleaned.agg(F.count(F.lit(1))).scalar()
+        weights = weights.drop("idf").join(feats.bucket_totals(counted, "rawFeatures"), "bucket").select(
+            "bucket", "coefficient", F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
+    margin = F.coalesce(F.sum(F.col("value") * F.col("coefficient") * F.col("idf")), F.lit(0.0))
+    return feats.bucket_values(counted, "rawFeatures", "id").join(weights, "bucket", "left").groupBy("id").agg(
+        (1.0 / (1.0 + F.exp(-(margin + classifier.intercept)))).alias("expected"))
+
+
+def _disagrees(probability, prediction):
+    """1 where a score is not the recomputed one, else 0."""
+    far = F.abs(probability - F.col("expected")) > 1e-6
+    # At even odds both classes are right.
+    wrong = (prediction != (F.col("expected") > 0.5).cast("int")) & (F.abs(F.col("expected") - 0.5) > 1e-9)
+    return F.coalesce((far | wrong).cast("int"), F.lit(1)).alias("disagrees")
+
+
+def _compared_score(spark, sf, idf):
+    cleaned = scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf)))
+    model = chosen_model(spark, sf)
+    scored = scoring.score(cleaned, model, idf)
+    return scored.join(_recomputed(cleaned, model, idf), "id", "left").select(
+        "id", "tweet", _disagrees(vector_to_array("probability")[1], F.col("prediction").cast("int")))
+
+
 @query
 def score(spark, sf):
-    scored = scoring.score(
-        scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf))), chosen_model(spark, sf)
-    )
-    return scored.select("id", "prediction", vector_to_array("probability").alias("probability"))
+    """Cleaned posts, and whether their score differs from the one recomputed bucket by bucket."""
+    return _compared_score(spark, sf, "saved")
 
 
 @query
 def score_refit(spark, sf):
-    """Document frequencies taken from the scored posts themselves."""
-    scored = scoring.score(
-        scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf))), chosen_model(spark, sf),
-        idf="refit",
-    )
-    return scored.select("id", "prediction", vector_to_array("probability").alias("probability"))
+    """The same with document frequencies taken from the scored posts themselves."""
+    return _compared_score(spark, sf, "refit")
+
+
+def formatted_posts(spark, sf) -> DataFrame:
+    """Result rows of all posts."""
+    result = scoring.predict(inputs.posts(inputs.tweets(spark, sf)), chosen_model(spark, sf))
+    return result.select(*[f.name for f in schemas.SCORED.fields])
 
 
 @query
 def format_predictions(spark, sf):
-    result = scoring.predict(
-        inputs.posts(inputs.tweets(spark, sf)), chosen_model(spark, sf)
-    )
-    return result.select(*[f.name for f in schemas.SCORED.fields])
+    """Result rows; class and confidence are compared with the recomputed probability."""
+    cleaned = scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf)))
+    rows = formatted_posts(spark, sf).join(_recomputed(cleaned, chosen_model(spark, sf)), "id", "left")
+    predicted = labels.class_label(F.col("prediction"))
+    confidence = F.col("confidence_score").cast("double")
+    return rows.select("id", "tweet", "tweet_wo_hashtag", "time_stamp", _disagrees(
+        F.when(predicted == 1, confidence).otherwise(1.0 - confidence), predicted))
+
+
+@query
+def score_closed_form(spark, sf):
+    """The whole path with a penalty so strong that the result is known in closed form.
+
+    All coefficients are zero and the intercept is the log odds of the training labels.
+    """
+    settings = training.FitSettings(regParam=10.0, elasticNetParam=1.0, weightCol="no_weight")
+    model = training.fit(_prepared(spark, sf), settings)
+    result = scoring.predict(inputs.posts(inputs.tweets(spark, sf)), model)
+    return result.select("id", "tweet", "prediction",
+                         F.round(F.col("confidence_score").cast("double"), 5).alias("confidence"))
 
 
 @query
