@@ -46,6 +46,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
 
 
+def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, least and greatest value (by code point): one row per text column, one pass."""
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    stats = [F.struct(F.lit(name).alias("column_name"), F.count(name).alias("n"),
+                      F.min(name).alias("min"), F.max(name).alias("max")) for name in columns]
+    return df.agg(F.array(*stats).alias("stats")).select(F.inline("stats"))
+
+
 def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, replace
 from itertools import product
-from math import ceil
+from math import ceil, log
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from quillstream.functions import text as T
 from quillstream.operators import features as feats
 from quillstream.operators import metrics, profile
+from quillstream.sources.tables import ModelStore
 
 
 @dataclass(frozen=True)
@@ -30,11 +31,11 @@ class FitSettings:
     weightCol: str = "weight"
     maxIter: int = 1000
     tol: float = 1e-6
-    # Levels of the gradient sum.  Raise it with the number of partitions: each
-    # task sends one vector as wide as the term space.
+    # Least levels of the gradient sum; ``fit`` raises them with the number of tasks.
     aggregationDepth: int = 2
 
 
+# The chosen settings (with the defaults above) and the baseline.
 CHOSEN = FitSettings()
 BASELINE = FitSettings(regParam=1.0, elasticNetParam=0.0, family="auto", weightCol="no_weight")
 
@@ -47,9 +48,11 @@ GRID = {
 }
 
 
-# Tokens one task of a fit should hold: some 50 MB of index/value pairs, well
-# above the gradient vector (8 bytes per hashed term) it sends in every round.
-TOKENS_PER_TASK = 4_000_000
+# Tokens one task of a fit should hold: some 6 MB of index/value pairs, three times
+# the gradient vector (8 bytes per hashed term) it sends in every round.
+TOKENS_PER_TASK = 500_000
+# Most gradients that one step of a gradient sum takes in.
+GRADIENTS_PER_STEP = 32
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -94,6 +97,19 @@ def tasks_for(counted: DataFrame) -> int:
     return max(1, ceil(tokens / TOKENS_PER_TASK))
 
 
+def in_tasks(rows: DataFrame, tasks: int) -> DataFrame:
+    """Kept ``rows`` in that many partitions, shuffled only when there are fewer now."""
+    if rows.rdd.getNumPartitions() >= tasks:
+        return rows.coalesce(tasks)
+    return rows.repartition(tasks)
+
+
+def deep_enough(settings: FitSettings, tasks: int) -> FitSettings:
+    """Settings whose gradient sum has a level for every ``GRADIENTS_PER_STEP``-fold of tasks."""
+    depth = max(settings.aggregationDepth, ceil(log(max(tasks, 2), GRADIENTS_PER_STEP)))
+    return replace(settings, aggregationDepth=depth)
+
+
 def fit(prepared: DataFrame, settings: FitSettings = CHOSEN,
         num_features: int = feats.NUM_FEATURES, hold_out: bool = True) -> PipelineModel:
     """Fit the whole pipeline: tokenizer, hashed counts, document frequencies, classifier.
@@ -108,8 +124,8 @@ def fit(prepared: DataFrame, settings: FitSettings = CHOSEN,
         rows = feats.class_weights(idf_model.transform(counted), over=counted)
         if hold_out:
             rows, _ = feats.split(rows)
-        rows = rows.select("label", "features", settings.weightCol).coalesce(tasks)
-        classifier = logistic(settings).fit(rows)
+        rows = in_tasks(rows.select("label", "features", settings.weightCol), tasks)
+        classifier = logistic(deep_enough(settings, tasks)).fit(rows)
     return PipelineModel(
         [feats.tokenizer(), feats.hashing_tf(num_features), idf_model, classifier]
     )
@@ -121,6 +137,12 @@ def evaluate(model: PipelineModel, prepared: DataFrame) -> DataFrame:
     return metrics.report(model.transform(test))
 
 
+def confusion(model: PipelineModel, prepared: DataFrame) -> DataFrame:
+    """Confusion counts on the held-out part."""
+    _, test = feats.split(prepared)
+    return metrics.confusion(model.transform(test))
+
+
 def settings_grid(base: FitSettings = CHOSEN, **choices: Iterable) -> list[FitSettings]:
     """All combinations of the given settings; the full search space by default."""
     choices = choices or GRID
@@ -134,7 +156,7 @@ def is_validation(key):
 
 def grid_search(prepared: DataFrame, grid: list[FitSettings] | None = None,
                 num_features: int = feats.NUM_FEATURES, parallelism: int = 4) -> DataFrame:
-    """Metrics of every setting on a validation part of the training rows.
+    """Overall and per-class metrics of every setting on a validation part of the training rows.
 
     The test part plays no role in the choice.  Features are computed once and
     kept; fits run ``parallelism`` at a time and share the cluster.
@@ -147,27 +169,39 @@ def grid_search(prepared: DataFrame, grid: list[FitSettings] | None = None,
         fit_part = train.filter(~is_validation(F.col("id")))
         idf_model = feats.idf().fit(fit_part)
         weighted = feats.class_weights(idf_model.transform(fit_part), over=fit_part)
-        weighted = weighted.select("label", "features", "weight", "no_weight").coalesce(tasks)
-        with kept(weighted) as fit_rows:
-            held = idf_model.transform(train.filter(is_validation(F.col("id"))))
+        weighted = in_tasks(weighted.select("label", "features", "weight", "no_weight"), tasks)
+        held = idf_model.transform(train.filter(is_validation(F.col("id")))).select("label", "features")
+        with kept(weighted) as fit_rows, kept(held) as held:
 
             def run(settings: FitSettings) -> tuple:
-                model = logistic(settings).fit(fit_rows)
-                whole = metrics.overall(model.transform(held)).first()
-                return (*asdict(settings).values(), *whole)
+                model = logistic(deep_enough(settings, tasks)).fit(fit_rows)
+                figures = metrics.wide(model.transform(held)).first()
+                return (*asdict(settings).values(), *figures)
 
             with ThreadPool(min(parallelism, len(grid))) as pool:
                 rows = pool.map(inheritable_thread_target(spark)(run), grid)
     schema = (
         "regParam double, elasticNetParam double, family string, weightCol string, "
         "maxIter int, tol double, aggregationDepth int, "
-        "f1 double, weighted_precision double, weighted_recall double"
+        + ", ".join(f"{c} {'bigint' if c.startswith('n_') else 'double'}" for c in metrics.WIDE)
     )
     return spark.createDataFrame(rows, schema)
 
 
+def search_and_save(prepared: DataFrame, store: ModelStore, grid: list[FitSettings] | None = None,
+                    metric: str = "f1_1", **options) -> int:
+    """Search, choose by ``metric``, fit the choice on the whole training part, save it."""
+    options_of_fit = {k: v for k, v in options.items() if k == "num_features"}
+    with kept(prepared) as prepared:
+        chosen = best_settings(grid_search(prepared, grid, **options), metric)
+        return store.save(fit(prepared, chosen, **options_of_fit))
+
+
 def best_settings(results: DataFrame, metric: str = "f1") -> FitSettings:
-    """The setting with the best metric; ties go to the stronger, simpler penalty."""
+    """The setting with the best metric; ties go to the stronger, simpler penalty.
+
+    ``metric="f1_1"`` chooses by class 1, which the weighted figures hide when it is rare.
+    """
     row = results.orderBy(
         F.desc(metric), F.desc("regParam"), F.desc("elasticNetParam"), "family", "weightCol"
     ).first()

@@ -165,6 +165,11 @@ buckets AS (SELECT word, (xor(h, h // 65536) % 262144)::INTEGER AS bucket FROM m
 bucket_counts AS (
   SELECT id, bucket, count(*) AS tf FROM doc_words JOIN buckets USING (word) GROUP BY 1, 2)"""
 
+_FIT_FACTS = f"""
+  SELECT coalesce(CAST(label AS VARCHAR), 'all') AS class, count(*) AS n_true, {{}} AS n_fitted,
+         0::DOUBLE AS slope{{}}
+  FROM labeled WHERE {BUCKET} % 10 >= 8 GROUP BY ROLLUP (label)"""
+
 ORACLE: dict[str, str] = {
     "scan_csv": _over("labeled", r"""SELECT id, regexp_replace(tweet, '[\r\n]+', ' ', 'g') AS tweet,
         label FROM labeled"""),
@@ -312,6 +317,14 @@ ORACLE: dict[str, str] = {
         SELECT id, {CLEAN} AS tweet, CASE WHEN p > 0.5 THEN 'hate' ELSE 'not_hate' END AS prediction,
                round(CAST(CAST(greatest(p, 1.0::DOUBLE - p) AS FLOAT) AS DOUBLE), 5) AS confidence
         FROM tweets, (SELECT avg(label) AS p FROM labeled WHERE {BUCKET} % 10 < 8)"""),
+    "describe_text": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, min({c}) AS min, max({c}) AS max FROM documents"
+        for c in ("text", "lang", "source")),
+    "train": _over("labeled", _FIT_FACTS.format(
+        f"(SELECT count(*) FROM labeled WHERE {BUCKET} % 10 < 8)", "")),
+    "retrain": _over("results", _FIT_FACTS.format(f"""
+        (SELECT count(*) FROM results r JOIN labels l ON r.id = CAST(l.doc_id AS VARCHAR)
+         WHERE {_FAILED} AND {BUCKET} % 10 < 8)""", ", 2::INTEGER AS version"), _LABELED),
     "eval_overall": "WITH " + _BY_CLASS + """
         SELECT round(sum(f1 * n_true) / sum(n_true), 6) AS f1,
                round(sum(precision * n_true) / sum(n_true), 6) AS weighted_precision,
@@ -343,5 +356,6 @@ ORACLE: dict[str, str] = {
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_stamp, 1 AS is_classified FROM tweets"""),
     "stream_dedup": _over("tweets", "SELECT id, tweet FROM tweets"),
 }
+ORACLE["train_baseline"] = ORACLE["train"]
 ORACLE["score_refit"] = ORACLE["score"]
 ORACLE["stream_daily_words"] = ORACLE["daily_word_freq"]

@@ -199,6 +199,11 @@ def describe(spark, sf):
     return both.select("column_name", "n", six("mean"), six("stddev"), "min", "max")
 
 
+@query
+def describe_text(spark, sf):
+    return profile.describe_text(inputs.table(spark, sf, "documents"))
+
+
 @query
 def dup_groups(spark, sf):
     return profile.duplicate_groups(inputs.labeled_documents(spark, sf), ["text", "label"])
@@ -463,15 +468,32 @@ def chosen_model(spark: SparkSession, sf: str) -> PipelineModel:
     return _models[key]
 
 
+def _fit_facts(model: PipelineModel, fitted: DataFrame, prepared: DataFrame, weight: str) -> DataFrame:
+    """Held-out rows per class, the number of fitted rows and the intercept's slope.
+
+    A fitted intercept leaves no weighted mean error on the rows it was fitted to.
+    """
+    error = F.col(weight) * (vector_to_array("probability")[1] - F.col("label"))
+    facts = model.transform(fitted).agg(F.struct(
+        F.count(F.lit(1)).alias("n_fitted"),
+        (F.round(F.sum(error) / F.sum(weight), 3) + 0.0).alias("slope"),
+    )).scalar()
+    return training.evaluate(model, prepared).select(
+        "class", "n_true", facts["n_fitted"].alias("n_fitted"), facts["slope"].alias("slope"))
+
+
 @query
 def train(spark, sf):
-    return training.evaluate(chosen_model(spark, sf), _prepared(spark, sf))
+    prepared = _prepared(spark, sf)
+    fitted, _ = feats.split(feats.class_weights(prepared))
+    return _fit_facts(chosen_model(spark, sf), fitted, prepared, "weight")
 
 
 @query
 def train_baseline(spark, sf):
-    model = training.fit(_prepared(spark, sf), training.BASELINE)
-    return training.evaluate(model, _prepared(spark, sf))
+    prepared = _prepared(spark, sf)
+    fitted, _ = feats.split(feats.class_weights(prepared))
+    return _fit_facts(training.fit(prepared, training.BASELINE), fitted, prepared, "no_weight")
 
 
 @query
@@ -638,9 +660,10 @@ def retrain(spark, sf):
     store.save(chosen_model(spark, sf))
     failed = _written(spark, scoring.failed_table(_results(spark, sf)), tables.FAILED)
     version = retraining.retrain(failed, store, "join", inputs.annotations(spark, sf))
-    return training.evaluate(store.load(version), _prepared(spark, sf)).withColumn(
-        "version", F.lit(version)
-    )
+    relabelled = training.prepare(retraining.relabel(failed, "join", inputs.annotations(spark, sf)))
+    fitted = feats.class_weights(feats.split(relabelled)[0])
+    return _fit_facts(store.load(version), fitted, _prepared(spark, sf), "weight").withColumn(
+        "version", F.lit(version))
 
 
 @query

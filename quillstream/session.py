@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that hold at any size.  Shuffle width is left to AQE, which merges
-# small partitions and splits skewed ones; a job passes its own starting width.
+# Settings that hold at any size.  AQE merges small shuffle partitions and splits skewed
+# joins, but never splits an aggregation, so the starting width follows the input size.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,19 +24,35 @@ BASE_CONF = {
 LARGE_REGIONS = "-XX:G1HeapRegionSize=32m"
 
 
+# Input that one partition of a shuffle stands for before AQE merges the small ones.
+BYTES_PER_PARTITION = 512 << 20
+
+
+def starting_width(input_bytes: int) -> int:
+    """Shuffle partitions to start with for an input of that size, 200 at least."""
+    return max(200, -(-input_bytes // BYTES_PER_PARTITION))
+
+
 def build_session(
     app: str = "quillstream",
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session.  ``master`` stays unset under spark-submit."""
+    """Create (or reuse) a session.  ``master`` stays unset under spark-submit.
+
+    Give ``input_bytes``, the size of the largest input, unless it is small.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            starting_width(input_bytes))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -6,6 +6,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from quillstream.operators import features as feats
 from quillstream.operators import metrics, predictions
 from quillstream.plans import retraining, scoring, training
 from quillstream.registry import inputs
@@ -49,6 +50,14 @@ def test_metrics_equal_library_evaluators(spark):
     report = {r["class"]: r for r in metrics.report(df).collect()}
     assert set(report) == {"all", "0", "1"}
     assert math.isclose(report["all"].f1, mine.f1)
+    one = metrics.wide(df).first()
+    for name in ("f1", "weighted_precision", "weighted_recall"):
+        assert math.isclose(one[name], mine[name])
+    for c in (0, 1):
+        for name in ("precision", "recall", "f1"):
+            assert math.isclose(one[f"{name}_{c}"], report[str(c)][name])
+    empty = metrics.wide(df.limit(0)).first()
+    assert empty.f1 is None and empty.f1_1 == 0.0 and empty.n_0_0 == 0
     matrix = {r.label: (r.predicted_0, r.predicted_1) for r in metrics.confusion(df).collect()}
     assert sum(map(sum, matrix.values())) == len(rows)
 
@@ -92,6 +101,24 @@ def test_grid_search_gives_every_setting_and_a_best(prepared):
         .first().f1 == top
 
 
+def test_search_choose_fit_and_save(spark, prepared):
+    store = ModelStore(spark, scratch_dir(spark, "store"))
+    grid = training.settings_grid(regParam=(0.01, 0.3))
+    version = training.search_and_save(prepared, store, grid, num_features=WIDTH)
+    model = store.load(version)
+    assert model.stages[-1].getRegParam() in (0.01, 0.3)
+    rows = training.confusion(model, prepared).collect()
+    assert sum(r.predicted_0 + r.predicted_1 for r in rows) == feats.split(prepared)[1].count()
+
+
+def test_tasks_and_depth_grow_with_the_tokens(prepared):
+    assert training.deep_enough(training.CHOSEN, 1) == training.CHOSEN
+    assert training.deep_enough(training.CHOSEN, 40_000).aggregationDepth == 4
+    kept = prepared.coalesce(2)
+    assert training.in_tasks(kept, 1).rdd.getNumPartitions() == 1
+    assert training.in_tasks(kept, 7).rdd.getNumPartitions() == 7
+
+
 def test_refit_idf_depends_on_the_batch(spark, sf_dir, model):
     posts = inputs.posts(inputs.tweets(spark, sf_dir))
     cleaned = scoring.clean_posts(posts)

@@ -23,7 +23,7 @@ def test_equals_sql(spark, con, sf_dir, name):
 
 
 def test_rows_only_list():
-    assert ROWS_ONLY == ["grid_search", "retrain", "train", "train_baseline"]
+    assert ROWS_ONLY == ["grid_search"]
 
 
 def test_entry_is_lazy_and_scored(spark):
