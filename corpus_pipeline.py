@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.llm import mixing, ngram_join, secrets, toxicity, unigram
-from quillstream.llm.common import Written, read, small_or_shuffled
+from quillstream.llm.common import Written, read, set_aside, small_or_shuffled
 from quillstream.llm.queries import tokenizer
 
 
@@ -26,14 +26,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents are told apart by id and text, so repeated ids with other texts are others.
     """
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    keyed = docs.withColumn("_key", key)
+    apart, back = set_aside(docs, "doc_id", "text")
+    keyed = apart.withColumn("_key", key)
     found = ngram_join.near_duplicates(keyed, "_key")
     chosen = Written(found.filter(F.col("_key") == F.col("component_id")).groupBy("_key").agg(
         F.max(F.col("n_links") > 0).alias("_many")), "chosen").df
     kept = keyed.join(small_or_shuffled(chosen), "_key")
     # Only groups can hold repeated rows of the chosen document.
     one = kept.filter("_many").dropDuplicates(["_key"])
-    return kept.filter("not _many").unionByName(one).select(*docs.columns)
+    return kept.filter("not _many").unionByName(one).select(*back)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,13 @@ def small_or_shuffled(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
+def set_aside(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but the used ones under names that clash with nothing, and
+    the columns that give the old names and order back."""
+    names = [c if c in used else f"_kept{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), [F.col(n).alias(c) for n, c in zip(names, docs.columns)]
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
     return F.coalesce(F.size(F.filter(F.split(text, SPACES), lambda w: w != "")), F.lit(0)) \

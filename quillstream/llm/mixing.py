@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import Written, small_or_shuffled, word_count
+from quillstream.llm.common import Written, set_aside, small_or_shuffled, word_count
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
@@ -135,4 +135,5 @@ def mixed(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> Da
     Texts are not shuffled: plan and last bucket are joined to them.
     """
     copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
-    return _decided(docs, max_epochs, seed).filter("_times > 0").withColumn("_copy", copies).select(*docs.columns)
+    apart, back = set_aside(docs, "doc_id", "source", "text")
+    return _decided(apart, max_epochs, seed).filter("_times > 0").withColumn("_copy", copies).select(*back)

@@ -21,7 +21,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.common import Written, small_or_shuffled
+from quillstream.llm.common import Written, set_aside, small_or_shuffled
 
 
 @dataclass(frozen=True)
@@ -264,8 +264,9 @@ def redact(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
     first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
     hit = F.size("found") > 0
-    out = scan(docs).withColumn("_new", F.when(hit, F.aggregate("found", first, step, rest)).otherwise(F.col("text")))
-    return out.select(*[
-        F.col("_new").alias("text") if c == "text"
-        else F.when(hit, F.length("_new")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(c) for c in docs.columns])
+    apart, back = set_aside(docs, "doc_id", "text", "n_chars")
+    out = scan(apart).withColumn("text", F.when(hit, F.aggregate("found", first, step, rest)).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        size = F.when(hit, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return out.select(*back)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstream.llm.common import Written, held_out
+from quillstream.llm.common import Written, held_out, set_aside
 
 # Bound of the sample that the model learns from.
 TRAIN_ROWS = 12_000
@@ -242,8 +242,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not scored as toxic, with their columns."""
     model = fit(docs, labels)
-    kept = docs.columns
-    scored = model.score(docs.withColumn("_text", F.col("text")).withColumnsRenamed(
-        {c: f"_c{i}" for i, c in enumerate(kept) if c not in ("text",)}))
-    back = [F.col("_text").alias(c) if c == "text" else F.col(f"_c{i}").alias(c) for i, c in enumerate(kept)]
-    return scored.filter(F.col("score") < THRESHOLD).select(*back)
+    apart, back = set_aside(docs, "text")
+    back[docs.columns.index("text")] = F.col("_text").alias("text")
+    return model.score(apart.withColumn("_text", F.col("text"))).filter(F.col("score") < THRESHOLD).select(*back)

@@ -19,8 +19,11 @@ from array import array
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstream.llm.common import set_aside
+
 MARK = "▁"
 # Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -213,17 +216,18 @@ def encode(docs: DataFrame, model: str, column: str = "ids") -> DataFrame:
     Null and empty texts have no ids.  All other columns, repeated rows included, are kept.
     """
     shared = _loaded(docs, model)
-    place, names = docs.columns.index("text"), [c for c in docs.columns if c != column]
+    # ``mapInArrow`` itself cannot take names with dots.
+    apart, back = set_aside(docs.drop(column), "text")
+    place, names = apart.columns.index("text"), [*apart.columns, "_ids"]
 
     def run(batches):
         encode_text = shared.value.encoder()
         for batch in batches:
             ids = [np.frombuffer(encode_text(t), "<i4") for t in _texts(batch.column(place))]
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.list_(pa.int32()))], [*names, column])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names)
 
-    schema = docs.select(*names).schema.add(column, T.ArrayType(T.IntegerType()))
-    return docs.mapInArrow(run, schema)
+    schema = T.StructType([*apart.schema.fields, T.StructField("_ids", T.ArrayType(T.IntegerType()))])
+    return apart.mapInArrow(run, schema).select(*back, F.col("_ids").alias(column))
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", column: str = "decoded") -> DataFrame:

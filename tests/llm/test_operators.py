@@ -302,6 +302,17 @@ def test_pipeline_stages_on_edge_cases(spark, sf_dir):
     assert "ids" in docs.columns and docs.count() > 0
 
 
+def test_pipeline_stages_keep_clashing_columns(spark, sf_dir):
+    names = ["target", "source_size", "size", "score", "features", "found", "_key", "_many", "_id", "_rules", "_new",
+             "_text", "_times", "component_id", "raw", "curve", "n links", "a.b"]
+    docs = docs_of(spark, EDGE).withColumns({c: F.lit(f"kept {i}") for i, c in enumerate(names)})
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        for row in docs.collect():
+            assert [row[c] for c in names] == [f"kept {i}" for i in range(len(names))]
+    assert docs.count() > 0
+
+
 def test_pipeline_runs_whole(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     kept = out.select("doc_id").distinct()
