@@ -6,7 +6,8 @@ when ``100 * |a & b| >= 80 * |a | b|``.  Every link is found; nothing is sampled
 1. *Scan.*  Equal sets fall together under a fingerprint.  Of each set the smallest
    hashes are listed: with ``d = n - ceil(0.8 n)`` tolerated misses and ``k`` wanted hits,
    two linked sets have ``k`` common n-grams among their ``d + k`` smallest.  Sets with
-   fewer than ``k`` listed n-grams known from another set link with nothing.
+   fewer than ``k`` listed n-grams known from another set link with nothing.  Sets with
+   ``k`` hot n-grams stay without being counted, and list the others for their partners.
 2. *Global order.*  The few remaining texts are read again; n-grams are ordered by their
    document frequency, rarest first, then by hash.  Sets with fewer than ``ceil(0.8 n)``
    n-grams known elsewhere drop out.
@@ -162,7 +163,8 @@ def _scan(hot: np.ndarray):
                 known = _in_sorted(listed, hot)
                 # The partner may be smaller, and its list shorter.
                 needs.append(_wanted(-(-n * PERCENT // 100)) - int(known.sum()))
-                lists.append(listed[~known] if needs[-1] > 0 else [])
+                # Listed whatever the need: a partner without hot n-grams counts on them.
+                lists.append(listed[~known])
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(needs, pa.int64()), _lists(lists)],
@@ -373,7 +375,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hot = hot_ngrams(docs)
     scan = Written(docs.mapInArrow(
         _scan(hot), f"doc_id {id_type}, fp bigint, n bigint, need bigint, listed array<bigint>"), "scan")
-    listed = scan.df.filter("need > 0").select("fp", "need", F.explode("listed").alias("h"))
+    listed = scan.df.select("fp", "need", F.explode("listed").alias("h"))
     dealt = listed.repartition("h")
     known = dealt.groupBy("h").agg(F.min("fp").alias("x"), F.max("fp").alias("y")) \
         .filter("x <> y").select("h")

@@ -85,6 +85,20 @@ def test_join_of_near_copies_split_over_blocks(spark, monkeypatch):
     assert joined(spark, rows) == brute_components(rows)
 
 
+def test_join_of_pairs_with_a_hot_passage_on_one_side(spark):
+    rng = random.Random(6)
+    hot = " ".join(f"h{k}" for k in range(19))
+    rows = []
+    for _ in range(30):
+        own = " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+        # 76 common shingles of 95; at most 15 of them are hot, and only in the longer text.
+        rows += [(len(rows), own, "s"), (len(rows) + 1, f"{own} {hot}", "s")]
+    assert len(ngram_join.hot_ngrams(docs_of(spark, rows))) == 15
+    wanted = brute_components(rows)
+    assert all(links == 1 for *_, links in wanted)
+    assert joined(spark, rows) == wanted
+
+
 def test_trigram_queries_are_necessary():
     query = secrets.trigram_query(secrets.BASE[0].pattern)
     assert {"pas", "ssw", "api", "key", "tok"} <= secrets.grams_of(query)
