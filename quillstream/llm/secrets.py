@@ -49,7 +49,11 @@ MORE = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # Up to the END line in any layout, also with escaped line ends; without it, up to the end
+    # of the base-64 lines.  One character class, since Java recurses on repeated groups.
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[\x5Crn\x20\t\r\n]*Proc-Type:\x20*[0-9A-Z,]+)?"
+         r"(?:[\x5Crn\x20\t\r\n]*DEK-Info:\x20*[0-9A-Z-]+,[0-9A-Fa-f]+)?"
+         r"(?:[A-Za-z0-9+/=\x5C\x20\t\r\n]*-----END [A-Z ]*PRIVATE KEY-----|[\x20\t]*[A-Za-z0-9+/=\x5C\r\n]*)"),
     Rule("url_login", r"://[^\x00-\x20/:@]+:[^\x00-\x20/:@]{4,}@"),
 )
 RULES = BASE + MORE
