@@ -19,6 +19,9 @@ from quillstream.operators.layout import spread
 from quillstream.plans import scoring
 from quillstream.sources import queue, tables
 
+# Folders of a batch's stored posts.
+ID_SLOTS = 16
+
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
            mode: str = "append") -> StreamingQuery:
@@ -69,28 +72,31 @@ def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint:
 def keep_once(posts: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
     """Write every post once, however often and in whatever order it is delivered.
 
-    Posts (``id``, ``ts``, ...) are compared with the stored ones of the same day: a
-    redelivered post carries its old time.  No state, so nothing is ever too late.  Posts
-    without an id cannot be told apart and are all kept.
+    Posts (``id``, ``ts``, ...) are compared by id alone, inside a batch and with all stored
+    ones, so a redelivered post may carry another time or none.  Stored posts lie in
+    ``ID_SLOTS`` folders by a hash of the id, and only the folders of a batch's ids are read.
+    No state, so nothing is ever too late.  Posts without an id cannot be told apart and are
+    all kept.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("day", F.to_date("ts"))
+        slot = F.when(F.col("id").isNotNull(), F.pmod(F.xxhash64("id"), F.lit(ID_SLOTS)).cast("int"))
+        batch = batch.withColumn("slot", slot)
         named = batch.filter("id IS NOT NULL").dropDuplicates(["id"])
         if batch_id:
-            stored = batch.sparkSession.read.parquet(f"{root}/{table}").filter(F.col("batch") < batch_id)
-            old = stored.select(F.col("day").cast("date").alias("old_day"), F.col("id").alias("old_id"))
-            named = named.join(old, F.col("day").eqNullSafe(F.col("old_day"))
-                               & (F.col("id") == F.col("old_id")), "left_anti")
+            slots = [r["slot"] for r in named.select("slot").distinct().collect()]
+            stored = batch.sparkSession.read.parquet(f"{root}/{table}") \
+                .filter(F.col("batch") < batch_id).filter(F.col("slot").cast("int").isin(slots))
+            named = named.join(stored.select(F.col("id").alias("old_id")), F.col("id") == F.col("old_id"), "left_anti")
         once = named.unionByName(batch.filter("id IS NULL"))
-        once.write.mode("overwrite").partitionBy("day").parquet(f"{root}/{table}/batch={batch_id}")
+        once.write.mode("overwrite").partitionBy("slot").parquet(f"{root}/{table}/batch={batch_id}")
 
     return _start(posts, handle, checkpoint)
 
 
 def read_once(spark, root: str, table: str) -> DataFrame:
     """The posts that ``keep_once`` has stored."""
-    return tables.read_table(spark, root, table).drop("day")
+    return tables.read_table(spark, root, table).drop("slot")
 
 
 def daily_words(result: DataFrame, root: str, checkpoint: str) -> StreamingQuery:

@@ -126,6 +126,19 @@ def test_redelivered_posts_are_kept_once_across_batches(spark, sf_dir):
     assert got.agg(F.count_distinct("id")).first()[0] == documents.count()
 
 
+@pytest.mark.parametrize("files_at_once", [1, 4])
+def test_redelivered_posts_with_another_time_are_kept_once(spark, files_at_once):
+    path, root = scratch_dir(spark, "times"), scratch_dir(spark, "once")
+    fields = "id string, tweet string, ts timestamp"
+    one, two = "2024-01-01 10:00:00", "2024-02-02 10:00:00"
+    for part in ([("a", one)], [("a", two), ("b", None)], [("b", one), ("c", two)], [("c", None), (None, one)]):
+        spark.createDataFrame([(i, "post", t) for i, t in part], "id string, tweet string, ts string") \
+            .withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode("append").parquet(path)
+    posts = spark.readStream.schema(fields).option("maxFilesPerTrigger", files_at_once).parquet(path)
+    jobs.keep_once(posts, root, "posts", f"{root}/cp").awaitTermination()
+    assert sorted(str(r.id) for r in jobs.read_once(spark, root, "posts").collect()) == ["None", "a", "b", "c"]
+
+
 def test_unusable_rows_are_set_aside(spark, model):
     path = scratch_dir(spark, "bad")
     spark.createDataFrame(
