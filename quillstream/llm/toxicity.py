@@ -198,12 +198,16 @@ def _probabilities(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = TRAIN_ROWS) -> DataFrame:
-    """(text, label, part) of at most ``most`` labelled rows that may be learned from."""
+    """(text, label, part) of at most ``most`` labelled rows that may be learned from.
+
+    An id that several rows share gives one of their texts: the one with the smallest hash.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("label")) \
         .filter("label in (0, 1)").filter(~held_out("_id")).dropDuplicates(["_id"])
     order = F.xxhash64("_id", F.lit(label))
     known = Written(known.orderBy(order, "_id").limit(most), "labels").df
     picked = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    picked = picked.groupBy("_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return picked.select("text", "label", F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(10)).alias("part"))
 
 
