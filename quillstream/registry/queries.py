@@ -25,6 +25,8 @@ from quillstream.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# What the fitted models return, beside the queries above that SQL can state.
+MODEL_QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
@@ -32,6 +34,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def model_query(function: Query) -> Query:
+    MODEL_QUERIES[function.__name__] = function
+    return function
+
+
 def six(name: str):
     """Column rounded to six places under its own name."""
     return F.round(F.col(name), 6).alias(name)
@@ -570,6 +577,31 @@ def format_predictions(spark, sf):
         F.when(predicted == 1, confidence).otherwise(1.0 - confidence), predicted))
 
 
+def _score_rows(spark, sf, idf):
+    cleaned = scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf)))
+    return scoring.score(cleaned, chosen_model(spark, sf), idf).select(
+        "id", "tweet", F.col("prediction").cast("int").alias("prediction"),
+        vector_to_array("probability")[1].alias("probability"))
+
+
+@model_query
+def score_rows(spark, sf):
+    """Cleaned posts with class and probability of class 1; ``score`` compares them."""
+    return _score_rows(spark, sf, "saved")
+
+
+@model_query
+def score_refit_rows(spark, sf):
+    """The same with document frequencies taken from the scored posts themselves."""
+    return _score_rows(spark, sf, "refit")
+
+
+@model_query
+def format_predictions_rows(spark, sf):
+    """Result rows with class name and confidence; ``format_predictions`` compares them."""
+    return formatted_posts(spark, sf)
+
+
 @query
 def score_closed_form(spark, sf):
     """The whole path with a penalty so strong that the result is known in closed form.
