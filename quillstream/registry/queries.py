@@ -503,6 +503,19 @@ def train_baseline(spark, sf):
     return _fit_facts(training.fit(prepared, training.BASELINE), fitted, prepared, "no_weight")
 
 
+@model_query
+def train_metrics(spark, sf):
+    """Held-out precision, recall and F1 of the chosen model, overall and for each class."""
+    return training.evaluate(chosen_model(spark, sf), _prepared(spark, sf))
+
+
+@model_query
+def train_baseline_metrics(spark, sf):
+    """The same for the baseline settings."""
+    prepared = _prepared(spark, sf)
+    return training.evaluate(training.fit(prepared, training.BASELINE), prepared)
+
+
 @query
 def grid_search(spark, sf):
     """Four of the 120 settings in a smaller term space; every labelled row takes part."""
@@ -685,19 +698,31 @@ def retrain_input(spark, sf):
     ).unionByName(tossed.withColumn("how", F.lit("coin")))
 
 
-@query
-def retrain(spark, sf):
-    """Second model version from annotated low-confidence posts, scored on the test part."""
+def _retrained(spark, sf):
+    """Low-confidence posts, the model store and the version fitted from those posts."""
     store = tables.ModelStore(spark, scratch_dir(spark, "models"))
     store.save(chosen_model(spark, sf))
     failed = _written(spark, scoring.failed_table(_results(spark, sf)), tables.FAILED)
-    version = retraining.retrain(failed, store, "join", inputs.annotations(spark, sf))
+    return failed, store, retraining.retrain(failed, store, "join", inputs.annotations(spark, sf))
+
+
+@query
+def retrain(spark, sf):
+    """Second model version from annotated low-confidence posts, scored on the test part."""
+    failed, store, version = _retrained(spark, sf)
     relabelled = training.prepare(retraining.relabel(failed, "join", inputs.annotations(spark, sf)))
     fitted = feats.class_weights(feats.split(relabelled)[0])
     return _fit_facts(store.load(version), fitted, _prepared(spark, sf), "weight").withColumn(
         "version", F.lit(version))
 
 
+@model_query
+def retrain_metrics(spark, sf):
+    """Held-out precision, recall and F1 of the second model version."""
+    _, store, version = _retrained(spark, sf)
+    return training.evaluate(store.load(version), _prepared(spark, sf)).withColumn("version", F.lit(version))
+
+
 @query
 def stream_score(spark, sf):
     root = scratch_dir(spark, "scores")

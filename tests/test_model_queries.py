@@ -13,3 +13,12 @@ def test_scores_come_with_class_and_probability(spark, sf_dir):
     got = queries["format_predictions_rows"](spark, sf_dir).toPandas()
     assert len(got) == docs and set(got["prediction"]) <= {"hate", "not_hate"}
     assert got["confidence_score"].astype(float).between(0.5, 1).all()
+
+
+def test_fits_come_with_their_metrics(spark, sf_dir):
+    queries = entry_module.queries()
+    for name in ("train", "train_baseline", "retrain"):
+        got = queries[f"{name}_metrics"](spark, sf_dir).toPandas()
+        assert {"class", "precision", "recall", "f1", "n_true"} <= set(got.columns)
+        assert set(got["class"]) >= {"0", "1"}
+        assert got[["precision", "recall", "f1"]].apply(lambda x: x.between(0, 1).all()).all()
