@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm import (
-    cross_polytope, mixing, ngram_join, quality, secrets, token_counts, topk, toxicity, unigram, warc,
+    cross_polytope, line_dedup, mixing, ngram_join, quality, secrets, token_counts, topk, toxicity, unigram, warc,
 )
 from quillstream.llm.common import read
 
@@ -59,6 +59,10 @@ def op10_mixing(spark, sf_dir) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("times")
 
 
+def op11_line_dedup(spark, sf_dir) -> DataFrame:
+    return line_dedup.digest(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
 
@@ -67,4 +71,5 @@ def pipeline(spark, sf_dir) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_secrets, op3_ngram_join, op4_quality, op5_warc, op6_token_counts, op7_topk,
-    op8_cross_polytope, op9_toxicity, op10_mixing, pipeline)}
+    op8_cross_polytope, op9_toxicity, op10_mixing, op11_line_dedup,
+    pipeline)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import mixing, secrets, topk, warc
+from quillstream.llm import line_dedup, mixing, secrets, topk, warc
 
 SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -124,5 +124,16 @@ SELECT page_id, record_type, {uuid("cast(json_object('p0', record_type, 'p1', re
   payload_digest AS source_digest, strlen(block) AS content_length FROM b"""
 
 
+LINES_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS MATERIALIZED (SELECT r, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i,
+    translate(trim(unnest(ls), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz') AS key FROM d),
+f AS (SELECT key FROM l WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT r) >= {line_dedup.MIN_DOCS}),
+k AS (SELECT r, count(*) AS n_lines, count(f.key) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.key IS NULL), '')) AS kept_sha256 FROM l LEFT JOIN f USING (key) GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM d JOIN k USING (r)"""
+
+
 ORACLE = {"op2_secrets": secrets_sql(), "op3_ngram_join": JOIN_SQL, "op5_warc": warc_sql(), "op7_topk": TOPK_SQL,
-          "op10_mixing": MIX_SQL}
+          "op10_mixing": MIX_SQL, "op11_line_dedup": LINES_SQL}
