@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import line_dedup, mixing, secrets, topk, warc
+from quillstream.llm import line_dedup, mixing, secrets, topk, vector_codes, warc
 
 SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -135,5 +135,33 @@ k AS (SELECT r, count(*) AS n_lines, count(f.key) AS n_dropped,
 SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM d JOIN k USING (r)"""
 
 
+def vector_codes_sql() -> str:
+    """Every round as two tables: the nearest entries, then the entries they give."""
+    square = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+    steps = []
+    for n in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (SELECT r, part, best // 1000 AS d, best % 1000 AS entry FROM (
+  SELECT r, part, min({square} * 1000 + entry) AS best FROM p JOIN b{n} USING (part) GROUP BY r, part))""")
+        if n < vector_codes.ROUNDS:
+            steps.append(f"""
+m{n} AS (SELECT part, entry, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS i
+  FROM a{n} JOIN p USING (r, part)) GROUP BY part, entry, i),
+b{n + 1} AS MATERIALIZED (SELECT part, entry, coalesce(new, c) AS c FROM b{n} LEFT JOIN (
+  SELECT part, entry, list(cast((s - ((s % n) + n) % n) // n AS bigint) ORDER BY i) AS new FROM m{n} GROUP BY part, entry) USING (part, entry))""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor({vector_codes.SCALE} * x::double) AS bigint)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, e[part * len(e) // {vector_codes.PARTS} + 1:(part + 1) * len(e) // {vector_codes.PARTS}] AS x
+  FROM v, range({vector_codes.PARTS}) AS t(part)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= {vector_codes.ENTRIES}),{",".join(steps)},
+e AS (SELECT r, cast(sum(d) AS bigint) AS error, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code FROM a{last} GROUP BY r),
+w AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{last})
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256 FROM v JOIN e USING (r), w"""
+
+
 ORACLE = {"op2_secrets": secrets_sql(), "op3_ngram_join": JOIN_SQL, "op5_warc": warc_sql(), "op7_topk": TOPK_SQL,
-          "op10_mixing": MIX_SQL, "op11_line_dedup": LINES_SQL}
+          "op10_mixing": MIX_SQL, "op11_line_dedup": LINES_SQL,
+          "op12_vector_codes": vector_codes_sql()}

@@ -33,11 +33,16 @@ QUERY_BLOCK = 2048
 SLICE = 128
 
 
+def finite(vector: str | Column) -> Column:
+    """Not null, all components finite."""
+    column = F.col(vector) if isinstance(vector, str) else vector
+    return F.coalesce(F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
 def usable(vector: str | Column) -> Column:
     """Neither null nor empty, all components finite."""
     column = F.col(vector) if isinstance(vector, str) else vector
-    finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce((F.size(column) > 0) & finite, F.lit(False))
+    return F.coalesce((F.size(column) > 0) & finite(column), F.lit(False))
 
 
 def blocks_of(rows: int, size: int) -> int:
