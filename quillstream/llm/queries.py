@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm import (
-    cross_polytope, line_dedup, mixing, ngram_join, quality, secrets, token_counts, topk, toxicity, unigram,
+    cross_polytope, divergence, line_dedup, mixing, ngram_join, quality, secrets, token_counts, topk, toxicity, unigram,
     vector_codes, warc,
 )
 from quillstream.llm.common import read
@@ -68,6 +68,10 @@ def op12_vector_codes(spark, sf_dir) -> DataFrame:
     return vector_codes.digest(read(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark, sf_dir) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir) -> DataFrame:
     import corpus_pipeline
 
@@ -77,4 +81,4 @@ def pipeline(spark, sf_dir) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_secrets, op3_ngram_join, op4_quality, op5_warc, op6_token_counts, op7_topk,
     op8_cross_polytope, op9_toxicity, op10_mixing, op11_line_dedup,
-    op12_vector_codes, pipeline)}
+    op12_vector_codes, op13_source_divergence, pipeline)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.llm import line_dedup, mixing, secrets, topk, vector_codes, warc
+from quillstream.llm import divergence, line_dedup, mixing, secrets, topk, vector_codes, warc
 
 SPACES = r"[^\x20\x09-\x0D]+"
 
@@ -162,6 +162,30 @@ w AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry
 SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256 FROM v JOIN e USING (r), w"""
 
 
+DIVERGENCE_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS MATERIALIZED (SELECT r, lang, source, unnest(ts) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, sum(n)::hugeint AS total, count(*)::hugeint AS v FROM k GROUP BY lang),
+x AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint AS n, k.n::hugeint AS lang_n
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS MATERIALIZED (SELECT lang, source, term, n, 1 + ({divergence.ONE}::hugeint * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v)::hugeint AS p,
+    1 + ({divergence.ONE}::hugeint * (lang_n + 2)) // (total + 2 * v) AS q FROM x JOIN l USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, cast(value AS bigint) AS value,
+  cast(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS int) AS rank FROM o
+QUALIFY part = 'pair' OR rank <= {divergence.TOP}"""
+
+
 ORACLE = {"op2_secrets": secrets_sql(), "op3_ngram_join": JOIN_SQL, "op5_warc": warc_sql(), "op7_topk": TOPK_SQL,
           "op10_mixing": MIX_SQL, "op11_line_dedup": LINES_SQL,
-          "op12_vector_codes": vector_codes_sql()}
+          "op12_vector_codes": vector_codes_sql(),
+          "op13_source_divergence": DIVERGENCE_SQL}
