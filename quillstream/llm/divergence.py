@@ -134,7 +134,7 @@ def price(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-def _audit_cell(rows: pd.DataFrame) -> pd.DataFrame:
+def _audit_cell(rows: pd.DataFrame, block_size: int) -> pd.DataFrame:
     """Prices of one segment: pairs of groups, and the best terms of each group.
 
     ``rows`` hold (gid, tid, n): gid -1 is the language itself with all terms; tid -1 gives
@@ -151,7 +151,7 @@ def _audit_cell(rows: pd.DataFrame) -> pd.DataFrame:
     counts[np.searchsorted([-1, *groups], body["gid"]), body["tid"]] = body["n"]
     trees = SegmentTrees(counts)
     p = {g: shares(trees.values, int(totals[g]), v) for g in [-1, *groups]}
-    block = [g // GROUPS for g in groups]
+    block = [g // block_size for g in groups]
     for i, a in enumerate(groups):
         for j in range(i + 1, len(groups)):
             if (block[i], block[j]) == (first, second):
@@ -224,8 +224,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         "lang", "seg", "gi", "gj", F.lit(-1).alias("gid"), F.lit(-1).alias("tid"), F.col("lang_n").alias("n"), "v")
     whole = whole.select("lang", "seg", "gi", "gj", F.lit(-1).alias("gid"), "tid", "n", "v").unionByName(whole_head)
     cell_rows = cells(body).unionByName(cells(heads)).unionByName(whole)
+    block_size = GROUPS
     priced = cell_rows.groupBy("lang", "seg", "gi", "gj").applyInPandas(
-        lambda key, rows: _audit_cell(rows).assign(lang=key[0], seg=key[1]),
+        lambda key, rows: _audit_cell(rows, block_size).assign(lang=key[0], seg=key[1]),
         "part string, a int, b int, value bigint, lang string, seg bigint")
     priced = Written(priced, "prices").df
     names = small_or_shuffled(groups.fresh().select("lang", "gid", "source"))
