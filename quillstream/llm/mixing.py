@@ -8,9 +8,11 @@ clamped, the level ``(total - clamped caps) / remaining weight`` either stays be
 next ratio, and is the final one, or the next source is clamped as well.
 
 A source's target is met by whole repetitions of all its documents and a seeded sample for
-the fraction: documents in the order of a seeded digest, up to the wanted words.
-The digest's first digits form buckets whose sums are known from one aggregation, so only
-the documents of the one bucket in which a source's sample ends are put in order.
+the fraction: documents in the order of a seeded digest of id and text, up to the wanted
+words.  The digest's first digits form buckets whose sums are known from one aggregation, so
+only the one bucket in which a source's sample ends is put in order, and there one row stands
+for all rows with the same digest.  If the sample ends among such rows, as many of them are
+taken as are wanted, numbered in parts with offsets, so no task sees them all.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from quillstream.llm.common import Written, set_aside, small_or_shuffled, word_c
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
-# Hexadecimal digits of the digest that name a bucket: 65,536 buckets for each source.
+# Hexadecimal digits of the digest that name a bucket: 65,536 buckets for each source, searched
+# in two steps of 256.
 BUCKET_DIGITS = 4
 
 
@@ -68,14 +71,33 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     return sources.withColumn("target", F.least(cap.cast("double"), share))
 
 
-def digest(doc_id: str | Column = "doc_id", seed: str = SEED) -> Column:
-    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(column.cast("string"), F.lit(""))).cast("binary"))
+def digest(doc_id: str | Column = "doc_id", text: str | Column = "text", seed: str = SEED) -> Column:
+    """The place of a row in the sample: rows equal in id and text share it."""
+    id_, body = (F.col(c) if isinstance(c, str) else c for c in (doc_id, text))
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"),
+                          F.coalesce(F.md5(body.cast("binary")), F.lit(""))).cast("binary"))
+
+
+def _end(sums: DataFrame, targets: DataFrame) -> DataFrame:
+    """(_s, _end, _below): the bucket in which each source's sample ends, and the words of those
+    before it.  Buckets are found by half their digits first, then by all, so a source has at
+    most 256 rows to add up in each step."""
+    found = targets.select(F.col("source").alias("_s"), "_need", F.lit("").alias("_end"), F.lit(0).cast("bigint").alias("_below"))
+    for digits in (BUCKET_DIGITS // 2, BUCKET_DIGITS):
+        within = sums.join(small_or_shuffled(Written(found, "ends").df), F.col("source").eqNullSafe(F.col("_s"))
+                           & F.startswith(F.col("_bucket"), F.col("_end")))
+        steps = within.groupBy("_s", "_need", "_below", F.substring("_bucket", 1, digits).alias("_b")).agg(F.sum("_sum").alias("_n"))
+        upto = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        filled = steps.withColumn("_upto", F.col("_below") + F.sum("_n").over(upto))
+        found = filled.filter("_upto > _need").groupBy("_s", "_need").agg(
+            F.min_by(F.struct("_b", (F.col("_upto") - F.col("_n")).alias("_under")), "_b").alias("_first")).select(
+            "_s", "_need", F.col("_first._b").alias("_end"), F.col("_first._under").alias("_below"))
+    return found.drop("_need")
 
 
 def _plan(rows: DataFrame, max_epochs: int) -> tuple[DataFrame, DataFrame]:
-    """Per source: target, whole repetitions and where its sample ends; and the decisions
-    in that last bucket, one row for each (source, key, size) in it."""
+    """Per source: target, whole repetitions and where its sample ends; and for that last
+    bucket how many (``_k``) of the ``_m`` rows of each (source, key, size) are taken."""
     rows = Written(rows.select("source", "_key", "_size"), "sizes").df
     bucket = F.substring("_key", 1, BUCKET_DIGITS)
     sums = Written(rows.groupBy("source", bucket.alias("_bucket")).agg(F.sum("_size").alias("_sum")), "sums").df
@@ -84,34 +106,54 @@ def _plan(rows: DataFrame, max_epochs: int) -> tuple[DataFrame, DataFrame]:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     targets = targets.withColumn("_whole", whole.cast("bigint")) \
         .withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size"))
-    # At most 65,536 rows for each source.
-    upto = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    filled = sums.withColumn("_upto", F.sum("_sum").over(upto)).withColumnRenamed("source", "_s")
-    same = F.col("source").eqNullSafe(F.col("_s"))
-    last = filled.join(targets, same).filter("_upto > _need").groupBy("_s").agg(
-        F.min_by(F.struct("_bucket", (F.col("_upto") - F.col("_sum")).alias("_below")), "_bucket").alias("_last"))
-    plan = Written(targets.join(last, same, "left").select(
-        F.col("source").alias("_s"), "source_size", "target", "_whole", "_need",
-        F.col("_last._bucket").alias("_end"), F.col("_last._below").alias("_below")), "plan").df
-    at_end = rows.join(small_or_shuffled(plan), same & (bucket == F.col("_end")))
-    inner = Window.partitionBy("source").orderBy("_key", "_size").rangeBetween(Window.unboundedPreceding, 0)
-    taken = F.sum("_size").over(inner) + F.col("_below")
+    targets = Written(targets, "targets").df
+    last = _end(sums, targets)
+    plan = Written(targets.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").select(
+        F.col("source").alias("_s"), "source_size", "target", "_whole", "_need", "_end", "_below"), "plan").df
+    at_end = rows.join(small_or_shuffled(plan), F.col("source").eqNullSafe(F.col("_s")) & (bucket == F.col("_end")))
+    # One row for all rows with the same digest, however many they are.
+    tied = at_end.groupBy("_s", "_key", "_size", "_need", "_below").agg(F.count(F.lit(1)).alias("_m"))
+    before = Window.partitionBy("_s").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    under = F.col("_below") + F.coalesce(F.sum(F.col("_m") * F.col("_size")).over(before), F.lit(0))
     # Nearest end: a document is in while half of it is still wanted.
-    ends = at_end.withColumn("_upto", taken).select(
-        F.col("source").alias("_es"), F.col("_key").alias("_ek"), F.col("_size").alias("_ez"),
-        (2 * F.col("_upto") - F.col("_size") <= 2 * F.col("_need")).alias("_in")).distinct()
-    return plan, Written(ends, "ends").df
+    wanted = F.floor((F.col("_need") - F.col("_under")) / F.col("_size") + F.lit(0.5))
+    some = F.when(F.col("_size") == 0, F.when(F.col("_under") <= F.col("_need"), F.col("_m")).otherwise(F.lit(0))) \
+        .otherwise(F.greatest(F.lit(0), F.least(F.col("_m"), wanted)))
+    ends = tied.withColumn("_under", under).select(
+        F.col("_s").alias("_es"), F.col("_key").alias("_ek"), F.col("_size").alias("_ez"), "_m", some.cast("bigint").alias("_k"))
+    return plan, Written(ends, "tied").df
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_extra``: 1 for the first ``_k`` of each source, in any fixed order of
+    equal rows; counted in the parts in which they are stored, and offset by the parts before."""
+    names = rows.columns
+    parts = Written(rows.withColumn("_part", F.spark_partition_id()), "equal-rows")
+    before = Window.partitionBy("_es").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parts.df.groupBy("_es", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = Written(sizes.select(F.col("_es").alias("_os"), F.col("_part").alias("_op"),
+                                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets").df
+    own = Window.partitionBy("_es", "_part").orderBy(F.xxhash64(*names))
+    placed = parts.fresh().join(small_or_shuffled(sizes), F.col("_es").eqNullSafe(F.col("_os")) & (F.col("_part") == F.col("_op")))
+    return placed.withColumn("_extra", (F.row_number().over(own) + F.col("_offset") <= F.col("_k")).cast("bigint")) \
+        .select(*names, "_extra")
 
 
 def _decided(docs: DataFrame, max_epochs: int, seed: str) -> DataFrame:
-    rows = docs.withColumns({"_size": word_count("text"), "_key": digest("doc_id", seed)})
+    rows = docs.withColumns({"_size": word_count("text"), "_key": digest("doc_id", "text", seed)})
     plan, ends = _plan(rows, max_epochs)
     joined = rows.join(small_or_shuffled(plan), F.col("source").eqNullSafe(F.col("_s"))).join(
         small_or_shuffled(ends), F.col("source").eqNullSafe(F.col("_es")) & (F.col("_key") == F.col("_ek"))
         & (F.col("_size") == F.col("_ez")), "left")
     before_end = F.col("_end").isNull() | (F.substring("_key", 1, BUCKET_DIGITS) < F.col("_end"))
-    times = F.col("_whole") + F.coalesce("_in", before_end).cast("bigint")
-    return joined.withColumn("_times", F.least(times, F.lit(max_epochs).cast("bigint")))
+    split = (F.col("_k") > 0) & (F.col("_k") < F.col("_m"))
+    decided = joined.withColumn("_extra", F.coalesce(F.col("_k") >= F.col("_m"), before_end).cast("bigint"))
+    if not ends.filter(split).isEmpty():
+        # At most one digest of each source has rows on both sides of the end.
+        undecided = F.coalesce(split, F.lit(False))
+        decided = decided.filter(~undecided).unionByName(_numbered(joined.filter(undecided)))
+    times = F.least(F.col("_whole") + F.col("_extra"), F.lit(max_epochs).cast("bigint"))
+    return decided.withColumn("_times", times)
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -119,10 +161,11 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> Data
 
     ``times`` is how often the mix holds the document: the whole repetitions of its source,
     plus one if it is in the sample; ``taken`` counts its words so often.  A source's
-    taken words differ from its target by at most one document (or one group of rows
-    equal in id and size).  Null texts and texts without words have size 0; a null source
-    is a source of its own.  Null and repeated ids share a digest and stand beside each
-    other.  Reruns agree, however rows are laid out.  An empty table gives no rows.
+    taken words differ from its target by at most one document.  Null texts and texts
+    without words have size 0; a null source is a source of its own.  Rows with null or
+    repeated ids are told apart by their texts; of rows equal in both, as many are taken as
+    are wanted, and since they are equal, reruns agree, however rows are laid out.  An empty
+    table gives no rows.
     """
     return _decided(docs.select("doc_id", "source", "text"), max_epochs, seed).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",

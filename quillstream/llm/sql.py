@@ -63,7 +63,7 @@ SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM (
 
 MIX_SQL = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{SPACES}')) AS size,
-    md5('{mixing.SEED}:' || coalesce(cast(doc_id AS varchar), '')) AS key FROM documents),
+    md5('{mixing.SEED}:' || coalesce(cast(doc_id AS varchar), '') || ':' || coalesce(md5(text), '')) AS key FROM documents),
 s AS (SELECT source, cast(sum(size) AS bigint) AS source_size,
     (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
 o AS (SELECT *, {mixing.MAX_EPOCHS} * source_size AS cap,
@@ -75,12 +75,14 @@ level AS (SELECT cast(total - clamped AS double) / cast(free AS double) AS level
 t AS (SELECT source, source_size, least(cast(cap AS double), weight * level) AS target FROM o, level),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN cast(floor(target / source_size) AS bigint) ELSE 0 END AS whole FROM t),
 x AS (SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS need,
-    sum(size) OVER (PARTITION BY d.source ORDER BY key, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    count(*) OVER same AS m, row_number() OVER same AS place
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source WINDOW same AS (PARTITION BY d.source, key, size)),
 b AS (SELECT source, min(substr(key, 1, {mixing.BUCKET_DIGITS})) AS last FROM x WHERE upto > need GROUP BY source)
 SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
   cast(size * least({mixing.MAX_EPOCHS}, whole + CASE WHEN last IS NULL OR substr(key, 1, {mixing.BUCKET_DIGITS}) < last THEN 1
-    WHEN substr(key, 1, {mixing.BUCKET_DIGITS}) > last THEN 0 WHEN 2 * upto - size <= 2 * need THEN 1 ELSE 0 END) AS bigint) AS taken
+    WHEN substr(key, 1, {mixing.BUCKET_DIGITS}) > last THEN 0 WHEN size = 0 THEN 0
+    WHEN place <= floor((need - (upto - m * size)) / size + 0.5) THEN 1 ELSE 0 END) AS bigint) AS taken
 FROM x LEFT JOIN b ON x.source IS NOT DISTINCT FROM b.source"""
 
 
