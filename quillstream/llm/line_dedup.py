@@ -78,7 +78,9 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: in
     frequent = Written(frequent_lines(apart, min_docs, min_chars), "frequent-lines").df
     # Rows equal in text lose the same lines, so positions are kept once for each text.
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    placed = apart.select(digest.alias("_of"), F.posexplode(_digests("text", min_chars)).alias("_at", "line"))
+    # The digest is taken below the explode: above it, it would be taken again for every line.
+    placed = apart.select(digest.alias("_of"), _digests("text", min_chars).alias("_keys")) \
+        .select("_of", F.posexplode("_keys").alias("_at", "line"))
     hit = join_by_word(placed.filter("line IS NOT NULL"), frequent, "line", "n_docs")
     dropped = Written(hit.groupBy("_of").agg(F.sort_array(F.collect_set("_at")).alias("_dropped")), "positions").df
     texts = apart.withColumns({"_lines": lines_of("text"), "_own": digest})
