@@ -86,10 +86,19 @@ SELECT doc_id, cast(size AS bigint) AS size, source_size, target,
 FROM x LEFT JOIN b ON x.source IS NOT DISTINCT FROM b.source"""
 
 
-def _entities(value: str) -> str:
-    for name, sign in warc.ENTITIES:
-        value = f"replace({value}, {_text(name)}, {_text(sign)})"
-    return value
+def _map(pairs: dict) -> str:
+    show = lambda x: _text(x) if isinstance(x, str) else str(x)
+    return f"map([{', '.join(map(show, pairs))}], [{', '.join(map(show, pairs.values()))}])"
+
+
+def _decoded(value: str) -> str:
+    """Gaps and references in turn; the last gap has no reference after it."""
+    ref = _text(warc.REFERENCE)
+    number = "cast(CASE WHEN lower(r[2]) = 'x' THEN '0x' || r[3:] ELSE r[2:] END AS int)"
+    code = f"list_transform([coalesce({_map(warc.INSTEAD)}[n], n)], lambda c: CASE WHEN c = 0 OR c BETWEEN 55296 AND 57343 OR c > 1114111 THEN {warc.UNKNOWN} ELSE c END)[1]"
+    sign = f"CASE WHEN r[1] = '#' THEN chr(list_transform([{number}], lambda n: {code})[1]) ELSE coalesce({_map(warc.NAMES)}[r], '&' || r || ';') END"
+    found = f"list_concat(list_transform(regexp_extract_all({value}, {ref}, 1), lambda r: {sign}), [''])"
+    return f"array_to_string(list_transform(list_zip(string_split_regex({value}, {ref}), {found}), lambda z: z[1] || z[2]), '')"
 
 
 def warc_sql() -> str:
@@ -109,13 +118,14 @@ def warc_sql() -> str:
     nl = "chr(10)"
     crlf = "chr(13) || chr(10)"
     text = every(every(every("html", warc.DROPPED, "''"), warc.BLOCKS, nl), warc.TAGS, "''")
-    text = every(every(_entities(text), r"[ \t\r\f\x0B]+", "' '"), r" ?\n[ \n]*", nl)
-    title = every(f"regexp_extract(html, {_text(warc.TITLE)}, 1)", r"[ \t\r\n\f\x0B]+", "' '")
+    collapsed = every(every(_decoded("raw_text"), r"[ \t\r\f\x0B]+", "' '"), r" ?\n[ \n]*", nl)
+    title = every(_decoded("raw_title"), r"[ \t\r\n\f\x0B]+", "' '")
     source = f"'source-Content-Type: text/html; charset=utf-8' || {crlf} || 'source-Content-Length: ' || strlen(html) || {crlf}"
     response = "json_object('p0', 'response', 'p1', cast(page_id AS varchar), 'p2', url, 'p3', sha1(html))"
     return f"""
-WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
-r AS (SELECT *, {uuid(f"cast({response} AS varchar)")} AS response_id, trim({text}, ' ' || chr(10)) AS text, trim({_entities(title)}, ' ') AS title FROM p),
+WITH h AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+p AS MATERIALIZED (SELECT *, {text} AS raw_text, regexp_extract(html, {_text(warc.TITLE)}, 1) AS raw_title FROM h),
+r AS (SELECT *, {uuid(f"cast({response} AS varchar)")} AS response_id, trim({collapsed}, ' ' || chr(10)) AS text, trim({title}, ' ') AS title FROM p),
 m AS (SELECT *, {base32('html')} AS payload_digest FROM r),
 b AS (SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
     'title: ' || title || {crlf} || 'http-status: HTTP/1.1 200 OK' || {crlf} || 'payload-digest: ' || payload_digest || {crlf} ||
