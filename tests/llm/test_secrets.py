@@ -2,6 +2,9 @@
 
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from quillstream.llm import secrets
 
@@ -33,3 +36,32 @@ def test_private_keys_go_with_their_body(spark):
     assert clean[5] == "a <secret>" and clean[6] == "a <secret> b <secret> z"
     assert clean[7] == "a <secret>- b <secret> z" and clean[8] == "a <secret>, it starts. z"
     assert clean[9] == texts[9] and clean[10] == "a <secret> z"
+
+
+HOSTILE = {
+    "assign": ["password ", "token=", "secret\"", "api_key:  ", "token=" + "a" * 11 + " "], "access": ["AKIA", "AKIAA "],
+    "hex": ["0123456789abcde ", "f", "deadbeefdeadbeef "], "github": ["ghp_", "ghp_" + "a" * 35 + " "], "slack": ["xoxb-", "xoxb-a "],
+    "jwt": ["eyJ", "eyJ.", "eyJaaaaaaaaaa.", "eyJaaaaaaaaaa.bbbbbbbbbb ", "eyJ-"], "google": ["AIza"], "stripe": ["sk_live_", "sk_live_a "],
+    "private_key": ["-----BEGIN ", "-----BEGIN PRIVATE KEY-----", "-----BEGIN PRIVATE KEY----- - "], "url_login": ["://", "://a:", "://a:bbbb "],
+}
+
+
+def test_a_megabyte_of_beginnings_takes_seconds(spark):
+    assert set(HOSTILE) == {r.kind for r in secrets.RULES}
+    rows = [(i, piece * (1_000_000 // len(piece))) for i, piece in enumerate(p for pieces in HOSTILE.values() for p in pieces)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(8)
+    begin = time.time()
+    assert secrets.find_secrets(docs).count() == len(secrets.redact(docs).select(F.length("text")).collect()) == len(rows)
+    # Some 4 s a text at most, where the quadratic forms took minutes for one.
+    assert time.time() - begin < 4 * len(rows)
+
+
+def test_linear_search_finds_the_same_matches(spark):
+    rng = random.Random(9)
+    signs = ["eyJ", "eyJ" + "a" * 10, "x", "-", ".", "." + "b" * 10, "." + "c" * 9, " ", "é", "_" * 12]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(60))) for _ in range(2000)]
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    found = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), (rule,)).collect()
+    assert sum(len(r.found) for r in found) > 300
+    for row in found:
+        assert [(x["start"], x["end"]) for x in row.found] == [m.span() for m in re.finditer(rule.pattern, texts[row.doc_id])]
