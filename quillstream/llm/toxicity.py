@@ -28,6 +28,9 @@ from quillstream.llm.common import Written, held_out, set_aside
 
 # Bound of the sample that the model learns from.
 TRAIN_ROWS = 12_000
+# Bytes of the longest text that is learned from: half of the sample goes to the driver for the
+# lexicon, at most 300 MB.
+TRAIN_BYTES = 50_000
 LEXICON = 3_000
 BEGINNINGS = range(4, 9)
 # Words this near to a second-person word count as aimed at somebody.
@@ -198,15 +201,18 @@ def _probabilities(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int = TRAIN_ROWS) -> DataFrame:
-    """(text, label, part) of at most ``most`` labelled rows that may be learned from.
+    """(text, label, part) of at most ``most`` labelled rows that may be learned from, their
+    texts of at most ``TRAIN_BYTES`` bytes.
 
     An id that several rows share gives one of their texts: the one with the smallest hash.
+    An id with several labels has the largest of them.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("label")) \
-        .filter("label in (0, 1)").filter(~held_out("_id")).dropDuplicates(["_id"])
+        .filter("label in (0, 1)").filter(~held_out("_id")).groupBy("_id").agg(F.max("label").alias("label"))
     order = F.xxhash64("_id", F.lit(label))
     known = Written(known.orderBy(order, "_id").limit(most), "labels").df
-    picked = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    short = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
+    picked = short.join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     picked = picked.groupBy("_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return picked.select("text", "label", F.pmod(F.xxhash64("_id", F.lit("part")), F.lit(10)).alias("part"))
 

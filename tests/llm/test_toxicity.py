@@ -16,3 +16,16 @@ def test_repeated_ids_give_one_training_row(spark):
     assert len(rows) == learned
     assert sorted(map(str, rows)) == sorted(map(str, toxicity.training_rows(docs.repartition(5), labels, "toxic").collect()))
     assert len(toxicity.training_rows(docs, labels, "toxic", 10).collect()) == 10
+
+
+def test_conflicting_labels_and_long_texts_are_defined(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 100)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(1, 40)] + [(50, "x" * 101), (51, None)], "doc_id bigint, text string")
+    pairs = [(i, i % 2) for i in range(1, 40)] + [(2, 1), (3, 0), (50, 1), (51, 1)]
+    rows = []
+    for order in (pairs, pairs[::-1]):
+        labels = spark.createDataFrame(order, "doc_id bigint, toxic int").coalesce(1)
+        rows.append(sorted(map(str, toxicity.training_rows(docs, labels, "toxic").collect())))
+    assert rows[0] == rows[1]
+    kept = {r.text: r.label for r in toxicity.training_rows(docs, labels, "toxic").collect()}
+    assert "x" * 101 not in kept and all(kept.get(f"text {i}", 1) == 1 for i in (2, 3))
