@@ -753,7 +753,7 @@ def stream_daily_words(spark, sf):
     """Four batches in no order of time."""
     root = scratch_dir(spark, "daily")
     stream = inputs.stream_tweets(spark, _shuffled_source(spark, sf), maxFilesPerTrigger=2)
-    jobs.daily_words(inputs.results(stream), root, f"{root}/checkpoint").awaitTermination()
+    jobs.daily_words(stream, root, f"{root}/checkpoint", inputs.results).awaitTermination()
     return jobs.read_daily_words(spark, root).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 

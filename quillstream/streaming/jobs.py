@@ -17,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillstream.operators.layout import spread
 from quillstream.plans import scoring
-from quillstream.sources import queue, tables
+from quillstream.sources import queue, segments, tables
 
-# Folders of a batch's stored posts.
-ID_SLOTS = 16
+DAILY = ("day", "prediction", "word")
+DAILY_SCHEMA = "day date, prediction string, word string, frequency bigint"
 
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
@@ -69,66 +69,70 @@ def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint:
     return _start(posts, handle, checkpoint)
 
 
-def keep_once(posts: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
+def keep_once(posts: DataFrame, root: str, table: str, checkpoint: str,
+              remember: str | None = None) -> StreamingQuery:
     """Write every post once, however often and in whatever order it is delivered.
 
-    Posts (``id``, ``ts``, ...) are compared by id alone, inside a batch and with all stored
-    ones, so a redelivered post may carry another time or none.  Stored posts lie in
-    ``ID_SLOTS`` folders by a hash of the id, and only the folders of a batch's ids are read.
-    No state, so nothing is ever too late.  Posts without an id cannot be told apart and are
-    all kept.
+    Posts (``id``, ...) are compared by id alone, so a redelivered post may carry another time
+    or none.  The ids seen so far are keyed state: a batch looks up its own ids and reads
+    nothing that is already stored, so its cost does not grow with the table, and an empty
+    batch is a batch like any other.  State holds one key for each id and lies in RocksDB (see
+    ``session``).  With ``remember``, such as "30 days", an id is forgotten that long after
+    its arrival and state stays bounded; arrival is the clock, so no post is ever too late.
+    Posts without an id cannot be told apart and are all kept.  The number of shuffle
+    partitions at the first start is the number of state partitions for good.
     """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        slot = F.when(F.col("id").isNotNull(), F.pmod(F.xxhash64("id"), F.lit(ID_SLOTS)).cast("int"))
-        batch = batch.withColumn("slot", slot)
-        named = batch.filter("id IS NOT NULL").dropDuplicates(["id"])
-        if batch_id:
-            slots = [r["slot"] for r in named.select("slot").distinct().collect()]
-            stored = batch.sparkSession.read.parquet(f"{root}/{table}") \
-                .filter(F.col("batch") < batch_id).filter(F.col("slot").cast("int").isin(slots))
-            named = named.join(stored.select(F.col("id").alias("old_id")), F.col("id") == F.col("old_id"), "left_anti")
-        once = named.unionByName(batch.filter("id IS NULL"))
-        once.write.mode("overwrite").partitionBy("slot").parquet(f"{root}/{table}/batch={batch_id}")
-
-    return _start(posts, handle, checkpoint)
+    keyed = posts.withColumn("_apart", F.when(F.col("id").isNull(), F.uuid()))
+    if remember is None:
+        once = keyed.dropDuplicates(["id", "_apart"])
+    else:
+        once = keyed.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", remember) \
+            .dropDuplicatesWithinWatermark(["id", "_apart"]).drop("_arrival")
+    return append(once.drop("_apart"), root, table, checkpoint)
 
 
 def read_once(spark, root: str, table: str) -> DataFrame:
     """The posts that ``keep_once`` has stored."""
-    return tables.read_table(spark, root, table).drop("slot")
+    return tables.read_table(spark, root, table)
 
 
-def daily_words(result: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def daily_words(posts: DataFrame, root: str, checkpoint: str,
+                results: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Word counts per day and class, from a stream of scored posts (``ts`` parsed).
 
-    Each batch writes the counts of its own posts under its id, and reading sums them:
-    exact in any order of arrival, and a replay overwrites itself.  Posts without a
-    readable time go to ``quarantine_time``.
+    ``results`` turns a batch of posts into scored ones, where the stream is not scored yet; it
+    then runs once, on a batch spread over idle cores.  Each batch stores the counts of its
+    own posts as a segment, and segments are merged as they add up (``segments``): exact in
+    any order of arrival, and a replay overwrites itself.  Posts without a readable time go
+    to ``quarantine_time``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        words = batch.filter("ts IS NOT NULL").select(
-            F.to_date("ts").alias("day"), "prediction",
-            F.explode(F.split("tweet_wo_hashtag", r"\s+")).alias("word"),
-        ).filter("word <> ''")
-        counts = words.groupBy("day", "prediction", "word").agg(
-            F.count(F.lit(1)).alias("frequency"))
-        tables.write_batch(counts, root, "daily_words", batch_id)
-        tables.write_batch(
-            batch.filter("ts IS NULL").select("id", "raw_tweet", "time_stamp"),
-            root, f"{tables.QUARANTINE}_time", batch_id)
+        scored = (results(spread(batch)) if results else batch).select(
+            "id", "raw_tweet", "time_stamp", "ts", "prediction", "tweet_wo_hashtag").persist()
+        try:
+            words = scored.filter("ts IS NOT NULL").select(
+                F.to_date("ts").alias("day"), "prediction",
+                F.explode(F.split("tweet_wo_hashtag", r"\s+")).alias("word"),
+            ).filter("word <> ''")
+            counts = words.groupBy(*DAILY).agg(F.count(F.lit(1)).alias("frequency"))
+            segments.write(counts, f"{root}/daily_words", batch_id, _summed)
+            tables.write_batch(
+                scored.filter("ts IS NULL").select("id", "raw_tweet", "time_stamp"),
+                root, f"{tables.QUARANTINE}_time", batch_id)
+        finally:
+            scored.unpersist()
+
+    return _start(posts, handle, checkpoint)
 
-    return _start(result, handle, checkpoint)
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*DAILY).agg(F.sum("frequency").alias("frequency"))
 
 
 def read_daily_words(spark, root: str) -> DataFrame:
     """Total of every group over all batches."""
-    return (
-        tables.read_table(spark, root, "daily_words")
-        .groupBy("day", "prediction", "word")
-        .agg(F.sum("frequency").alias("frequency"))
-    )
+    return _summed(segments.read(spark, f"{root}/daily_words", DAILY_SCHEMA))
 
 
 def append(stream: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:

@@ -8,7 +8,7 @@ from quillstream.operators import frequency
 from quillstream.plans import scoring, training
 from quillstream.registry import inputs
 from quillstream.scratch import scratch_dir
-from quillstream.sources import queue, tables
+from quillstream.sources import queue, segments, tables
 from quillstream.streaming import jobs
 
 PARTS = 4
@@ -150,3 +150,76 @@ def test_unusable_rows_are_set_aside(spark, model):
     ids = {t: [r.id for r in tables.read_table(spark, root, t).collect()]
            for t in (tables.CLEAN, f"{tables.QUARANTINE}_text", f"{tables.QUARANTINE}_time")}
     assert ids == {tables.CLEAN: ["1"], f"{tables.QUARANTINE}_text": ["2"], f"{tables.QUARANTINE}_time": ["3"]}
+
+
+def test_an_empty_first_batch_and_history_that_is_never_read(spark):
+    path, root = scratch_dir(spark, "empty"), scratch_dir(spark, "once")
+    fields = "id string, tweet string"
+    for part in ([("a", "left out")], [("a", "post"), (None, "post")], [("b", "post"), ("a", "post")], [(None, "post"), ("b", "post")]):
+        spark.createDataFrame(part, fields).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.1)
+    for _ in range(2):
+        posts = spark.readStream.schema(fields).option("maxFilesPerTrigger", 1).parquet(path).filter("tweet <> 'left out'")
+        query = jobs.keep_once(posts, root, "posts", f"{root}/cp")
+        query.awaitTermination()
+        last = query.lastProgress
+    assert sorted(str(r.id) for r in jobs.read_once(spark, root, "posts").collect()) == ["None", "None", "a", "b"]
+    # A later run finds what earlier ones have seen in its state, whatever happened to the table.
+    spark.createDataFrame([("a", "post"), ("c", "post")], fields).coalesce(1).write.mode("append").parquet(path)
+    posts = spark.readStream.schema(fields).parquet(path).filter("tweet <> 'left out'")
+    query = jobs.keep_once(posts, f"{root}/elsewhere", "posts", f"{root}/cp")
+    query.awaitTermination()
+    assert [r.id for r in jobs.read_once(spark, f"{root}/elsewhere", "posts").collect()] == ["c"]
+    assert query.lastProgress.stateOperators[0].numRowsTotal >= 3 and last is None or last.numInputRows <= 2
+
+
+def test_bounded_memory_of_ids(spark):
+    path, root = scratch_dir(spark, "bounded"), scratch_dir(spark, "once")
+    for part in (["a", "b"], ["b", None], ["a", "c", None]):
+        spark.createDataFrame([(i, "post") for i in part], "id string, tweet string").coalesce(1).write.mode("append").parquet(path)
+    posts = spark.readStream.schema("id string, tweet string").option("maxFilesPerTrigger", 1).parquet(path)
+    jobs.keep_once(posts, root, "posts", f"{root}/cp", remember="1 day").awaitTermination()
+    assert sorted(str(r.id) for r in jobs.read_once(spark, root, "posts").collect()) == ["None", "None", "a", "b", "c"]
+
+
+def test_segments_stay_few_and_survive_crashes(spark):
+    root = scratch_dir(spark, "segments")
+    total, crashes = {}, 0
+
+    def merge(rows):
+        return rows.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def crash(rows):
+        raise RuntimeError("lost between two steps")
+
+    for batch in range(13):
+        part = spark.createDataFrame([(batch % 3, batch + 1), (7, 1)], "k int, n bigint").coalesce(1)
+        for key, n in ((batch % 3, batch + 1), (7, 1)):
+            total[key] = total.get(key, 0) + n
+        if batch in (3, 7, 8):
+            try:
+                segments.write(part, root, batch, crash)
+            except RuntimeError:
+                crashes += 1
+            assert dict(merge(segments.read(spark, root, "k int, n bigint")).collect()) == total
+        # The batch is delivered again after a crash, and sometimes without one.
+        for _ in range(1 + batch % 2):
+            segments.write(part, root, batch, merge)
+        assert dict(merge(segments.read(spark, root, "k int, n bigint")).collect()) == total
+        spans = segments.chosen(segments.complete(spark, root))
+        assert len(spans) <= batch.bit_length() + 1 and spans[-1][1] == batch
+    assert crashes == 2
+    # Parts of merged segments are gone but for those of the last batch.
+    assert len(segments.complete(spark, root)) <= len(spans) + 4
+    assert segments.read(spark, scratch_dir(spark, "none"), "k int, n bigint").count() == 0
+
+
+def test_longest_segments_are_chosen():
+    assert segments.chosen([(0, 3), (0, 1), (0, 0), (1, 1), (2, 3), (4, 4), (6, 7), (6, 6)]) == [(0, 3), (4, 4), (6, 7)]
+
+
+def test_scoring_inside_the_batch_equals_scoring_before(spark, source):
+    root = scratch_dir(spark, "daily")
+    jobs.daily_words(stream(spark, source), root, f"{root}/cp", inputs.results).awaitTermination()
+    batch = frequency.daily_word_frequency(scoring.word_table(inputs.results(inputs.tweets(spark, source))))
+    assert rows(jobs.read_daily_words(spark, root)) == rows(batch)
