@@ -63,6 +63,17 @@ def _hash(keys: Sequence[str]) -> Column:
 MAX_HASHES = 4_000_000
 
 
+def _repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The stored 8-byte hashes (``_hash``) of key combinations seen twice, run at once."""
+    return stored(
+        df.groupBy(_hash(keys).alias("_hash"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+        .select("_hash"),
+        "hashes",
+    )
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once, with their counts.
 
@@ -73,13 +84,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     merge a hot group inside each task.
     """
     keys = list(keys)
-    repeated = stored(
-        df.groupBy(_hash(keys).alias("_hash"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .select("_hash"),
-        "hashes",
-    )
+    repeated = _repeated(df, keys)
     rows = df.select(_hash(keys).alias("_hash"), *keys)
     if repeated.count() <= MAX_HASHES:
         rows = rows.join(F.broadcast(repeated), "_hash", "left_semi")
@@ -111,13 +116,28 @@ def duplicate_total(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def drop_duplicates(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
     """One row per key combination: the one with the lowest id.
 
-    Plain ``dropDuplicates`` keeps whichever row arrives first.  Copies are
-    merged inside each task before the one shuffle, so a group of copies of any
-    size reaches its reducer as one row per task.  The leading hash decides
-    almost every comparison when Spark groups by sorting; the keys behind it
-    keep the result exact.
+    Plain ``dropDuplicates`` keeps whichever row arrives first.  As for ``duplicate_groups``,
+    a first pass stores the hashes seen twice: rows without such a hash are kept where they
+    lie, and only the others are shuffled, so unique texts never are.  With too many hashes to
+    broadcast all rows are grouped.
     """
     keys = list(keys)
+    repeated = _repeated(df, keys)
+    if repeated.count() > MAX_HASHES:
+        return _lowest(df, keys, id_col)
+    many = F.broadcast(repeated)
+    rows = df.withColumn("_hash", _hash(keys))
+    alone = rows.join(many, "_hash", "left_anti").select(*df.columns)
+    return alone.unionByName(_lowest(rows.join(many, "_hash", "left_semi").select(*df.columns), keys, id_col))
+
+
+def _lowest(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """The row with the lowest id of each key combination.
+
+    Copies are merged inside each task before the one shuffle, so a group of copies of any
+    size reaches its reducer as one row per task.  The leading hash decides almost every
+    comparison when Spark groups by sorting; the keys behind it keep the result exact.
+    """
     rest = [c for c in df.columns if c not in keys and c != id_col]
     groups = df.groupBy(_hash(keys).alias("_hash"), *keys)
     if rest:

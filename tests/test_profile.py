@@ -53,6 +53,18 @@ def test_drop_duplicates_keeps_lowest_id_with_its_row(spark):
     assert sorted(map(tuple, again.collect()), key=str) == sorted(want.values(), key=str)
 
 
+def test_drop_duplicates_without_a_broadcast_and_without_shuffled_unique_rows(spark, monkeypatch):
+    _, df = rows_with_hot_group(spark)
+    kept = profile.drop_duplicates(df, ["text", "label"], "id")
+    wanted = sorted(map(str, kept.collect()))
+    # The side of the unique texts is a filter on the scan; only the other one is grouped.
+    unique, repeated = kept._jdf.queryExecution().optimizedPlan().children().apply(0), kept._jdf.queryExecution().optimizedPlan().children().apply(1)
+    assert "LeftAnti" in unique.toString() and "Aggregate" not in unique.toString()
+    assert "LeftSemi" in repeated.toString() and "Aggregate" in repeated.toString()
+    monkeypatch.setattr(profile, "MAX_HASHES", 0)
+    assert sorted(map(str, profile.drop_duplicates(df, ["text", "label"], "id").collect())) == wanted
+
+
 def test_drop_duplicates_merges_redelivered_ids(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "b")], "id long, text string")
     got = profile.drop_duplicates(df, ["text"], "id").collect()
