@@ -167,9 +167,15 @@ bucket_counts AS (
 
 _FIT_FACTS = f"""
   SELECT coalesce(CAST(label AS VARCHAR), 'all') AS class, count(*) AS n_true, {{}} AS n_fitted,
-         0::DOUBLE AS slope{{}}
+         0::DOUBLE AS slope, {{}}
   FROM labeled WHERE {BUCKET} % 10 >= 8 GROUP BY ROLLUP (label)"""
 
+# The settings of the chosen and of the baseline fit.
+_SETTINGS = {
+    "chosen": "0.1::DOUBLE AS reg_param, 0.015::DOUBLE AS elastic_net, 'binomial' AS family, 'weight' AS weight_col",
+    "baseline": "1.0::DOUBLE AS reg_param, 0.0::DOUBLE AS elastic_net, 'auto' AS family, 'no_weight' AS weight_col",
+}
+
 ORACLE: dict[str, str] = {
     "scan_csv": _over("labeled", r"""SELECT id, regexp_replace(tweet, '[\r\n]+', ' ', 'g') AS tweet,
         label FROM labeled"""),
@@ -309,8 +315,8 @@ ORACLE: dict[str, str] = {
     "model_roundtrip": """
         SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different
         FROM documents JOIN labels USING (doc_id)""",
-    "score": _over("tweets", f"SELECT id, {CLEAN} AS tweet, 0::INTEGER AS disagrees FROM tweets"),
-    "format_predictions": _over("tweets", f"""
+    "score_check": _over("tweets", f"SELECT id, {CLEAN} AS tweet, 0::INTEGER AS disagrees FROM tweets"),
+    "format_predictions_check": _over("tweets", f"""
         SELECT id, {CLEAN} AS tweet, {CLEAN_WO} AS tweet_wo_hashtag, created_at AS time_stamp,
                0::INTEGER AS disagrees FROM tweets"""),
     "score_closed_form": _over("labeled", f"""
@@ -321,10 +327,13 @@ ORACLE: dict[str, str] = {
         f"SELECT '{c}' AS column_name, count({c}) AS n, min({c}) AS min, max({c}) AS max FROM documents"
         for c in ("text", "lang", "source")),
     "train": _over("labeled", _FIT_FACTS.format(
-        f"(SELECT count(*) FROM labeled WHERE {BUCKET} % 10 < 8)", "")),
+        f"(SELECT count(*) FROM labeled WHERE {BUCKET} % 10 < 8)", _SETTINGS["chosen"])),
+    "train_baseline": _over("labeled", _FIT_FACTS.format(
+        f"(SELECT count(*) FROM labeled WHERE {BUCKET} % 10 < 8)",
+        _SETTINGS["baseline"] + ", 1::INTEGER AS is_smaller, 0::INTEGER AS n_zero")),
     "retrain": _over("results", _FIT_FACTS.format(f"""
         (SELECT count(*) FROM results r JOIN labels l ON r.id = CAST(l.doc_id AS VARCHAR)
-         WHERE {_FAILED} AND {BUCKET} % 10 < 8)""", ", 2::INTEGER AS version"), _LABELED),
+         WHERE {_FAILED} AND {BUCKET} % 10 < 8)""", _SETTINGS["chosen"] + ", 2::INTEGER AS version"), _LABELED),
     "eval_overall": "WITH " + _BY_CLASS + """
         SELECT round(sum(f1 * n_true) / sum(n_true), 6) AS f1,
                round(sum(precision * n_true) / sum(n_true), 6) AS weighted_precision,
@@ -353,9 +362,14 @@ ORACLE: dict[str, str] = {
         SELECT id, raw_tweet, {BUCKET} % 2, 'coin' FROM results WHERE {_FAILED}"""),
     "stream_score": _over("tweets", f"""
         SELECT id, {CLEAN} AS tweet, {CLEAN_WO} AS tweet_wo_hashtag,
-               strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_stamp, 1 AS is_classified FROM tweets"""),
+               strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_stamp, 1 AS is_classified, 0 AS disagrees FROM tweets"""),
+    "score_queue": _over("tweets", f"""
+        SELECT id, {CLEAN} AS tweet, {CLEAN_WO} AS tweet_wo_hashtag, 0 AS is_bad FROM tweets WHERE CAST(id AS BIGINT) % 7 <> 0
+        UNION ALL SELECT id, {CLEAN}, {CLEAN_WO}, 0 FROM (
+          SELECT sha256(length(key) || ':' || key || length(text) || ':' || text) AS id, text AS tweet FROM (
+            SELECT CAST(doc_id AS VARCHAR) AS key, text FROM documents ORDER BY md5(key), key LIMIT 100))
+        UNION ALL SELECT id, NULL, NULL, 1 FROM tweets WHERE CAST(id AS BIGINT) % 7 = 0"""),
     "stream_dedup": _over("tweets", "SELECT id, tweet FROM tweets"),
 }
-ORACLE["train_baseline"] = ORACLE["train"]
-ORACLE["score_refit"] = ORACLE["score"]
+ORACLE["score_refit_check"] = ORACLE["score_check"]
 ORACLE["stream_daily_words"] = ORACLE["daily_word_freq"]

@@ -17,7 +17,7 @@ from quillstream.functions import text as T
 from quillstream.functions.keys import content_id
 from quillstream.operators import features as feats
 from quillstream.operators import frequency, metrics, predictions, profile
-from quillstream.plans import exploration, retraining, scoring, training
+from quillstream.plans import exploration, retraining, scoring, stacked, training
 from quillstream.registry import inputs
 from quillstream.scratch import scratch_dir
 from quillstream.sources import files, queue, tables
@@ -485,8 +485,13 @@ def _fit_facts(model: PipelineModel, fitted: DataFrame, prepared: DataFrame, wei
         F.count(F.lit(1)).alias("n_fitted"),
         (F.round(F.sum(error) / F.sum(weight), 3) + 0.0).alias("slope"),
     )).scalar()
+    # What the fitted classifier says of itself, so that another setting shows.
+    classifier = model.stages[-1]
+    settings = [F.lit(float(classifier.getRegParam())).alias("reg_param"),
+                F.lit(float(classifier.getElasticNetParam())).alias("elastic_net"),
+                F.lit(classifier.getFamily()).alias("family"), F.lit(classifier.getWeightCol()).alias("weight_col")]
     return training.evaluate(model, prepared).select(
-        "class", "n_true", facts["n_fitted"].alias("n_fitted"), facts["slope"].alias("slope"))
+        "class", "n_true", facts["n_fitted"].alias("n_fitted"), facts["slope"].alias("slope"), *settings)
 
 
 @query
@@ -500,7 +505,21 @@ def train(spark, sf):
 def train_baseline(spark, sf):
     prepared = _prepared(spark, sf)
     fitted, _ = feats.split(feats.class_weights(prepared))
-    return _fit_facts(training.fit(prepared, training.BASELINE), fitted, prepared, "no_weight")
+    baseline = training.fit(prepared, training.BASELINE)
+    # Ten times the penalty: smaller coefficients than the chosen model, and none cut to zero.
+    norm = [float(np.linalg.norm(m.stages[-1].coefficients.toArray())) for m in (baseline, chosen_model(spark, sf))]
+    terms = fitted_terms(baseline, fitted)
+    unused = int((baseline.stages[-1].coefficients.toArray()[terms] == 0).sum())
+    return _fit_facts(baseline, fitted, prepared, "no_weight").withColumns({
+        "is_smaller": F.lit(int(0 < norm[0] < norm[1])), "n_zero": F.lit(unused)})
+
+
+def fitted_terms(model: PipelineModel, fitted: DataFrame) -> np.ndarray:
+    """Buckets that the fitted rows hold and that weigh something."""
+    counted = model.stages[1].transform(model.stages[0].transform(fitted))
+    found = feats.bucket_totals(counted, "rawFeatures").filter("total > 0").select("bucket").toPandas()["bucket"].to_numpy()
+    # A term of all documents has no weight, and a coefficient of zero for that reason.
+    return found[model.stages[2].idf.toArray()[found] > 0]
 
 
 @model_query
@@ -518,9 +537,8 @@ def train_baseline_metrics(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    """Four of the 120 settings in a smaller term space; every labelled row takes part."""
-    grid = training.settings_grid(weightCol=("no_weight", "weight"), regParam=(0.03, 0.1))
-    return training.grid_search(_prepared(spark, sf), grid, num_features=2**14)
+    """All 120 settings at full width, in fits that share their passes; every labelled row takes part."""
+    return stacked.grid_search(_prepared(spark, sf))
 
 
 def _recomputed(cleaned: DataFrame, model: PipelineModel, idf: str = "saved") -> DataFrame:
@@ -562,13 +580,13 @@ def _compared_score(spark, sf, idf):
 
 
 @query
-def score(spark, sf):
+def score_check(spark, sf):
     """Cleaned posts, and whether their score differs from the one recomputed bucket by bucket."""
     return _compared_score(spark, sf, "saved")
 
 
 @query
-def score_refit(spark, sf):
+def score_refit_check(spark, sf):
     """The same with document frequencies taken from the scored posts themselves."""
     return _compared_score(spark, sf, "refit")
 
@@ -580,7 +598,7 @@ def formatted_posts(spark, sf) -> DataFrame:
 
 
 @query
-def format_predictions(spark, sf):
+def format_predictions_check(spark, sf):
     """Result rows; class and confidence are compared with the recomputed probability."""
     cleaned = scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf)))
     rows = formatted_posts(spark, sf).join(_recomputed(cleaned, chosen_model(spark, sf)), "id", "left")
@@ -598,20 +616,20 @@ def _score_rows(spark, sf, idf):
 
 
 @model_query
-def score_rows(spark, sf):
-    """Cleaned posts with class and probability of class 1; ``score`` compares them."""
+def score(spark, sf):
+    """Cleaned posts with class and probability of class 1; ``score_check`` compares them."""
     return _score_rows(spark, sf, "saved")
 
 
 @model_query
-def score_refit_rows(spark, sf):
+def score_refit(spark, sf):
     """The same with document frequencies taken from the scored posts themselves."""
     return _score_rows(spark, sf, "refit")
 
 
 @model_query
-def format_predictions_rows(spark, sf):
-    """Result rows with class name and confidence; ``format_predictions`` compares them."""
+def format_predictions(spark, sf):
+    """Result rows with class name and confidence; ``format_predictions_check`` compares them."""
     return formatted_posts(spark, sf)
 
 
@@ -731,13 +749,35 @@ def stream_score(spark, sf):
     jobs.score_stream(
         stream, chosen_model(spark, sf), root, f"{root}/checkpoint"
     ).awaitTermination()
-    return tables.read_table(spark, root, tables.CLEAN).select(
+    # Every streamed row beside the batch's one: the same class and confidence.
+    batch = formatted_posts(spark, sf).select("id", F.col("prediction").alias("b_class"), F.col("confidence_score").alias("b_score"))
+    agrees = (F.col("prediction") == F.col("b_class")) & (F.abs(F.col("confidence_score") - F.col("b_score")) <= 1e-6)
+    return tables.read_table(spark, root, tables.CLEAN).join(batch, "id", "left").select(
         "id", "tweet", "tweet_wo_hashtag",
         F.date_format("time_stamp", "yyyy-MM-dd HH:mm:ss").alias("time_stamp"),
         F.col("prediction").isin(*labels.CLASS_NAMES.values()).cast("int").alias("is_classified"),
+        F.coalesce((~agrees).cast("int"), F.lit(1)).alias("disagrees"),
     )
 
 
+@query
+def score_queue(spark, sf):
+    """One job from queue messages, every seventh of them broken, and 100 demo posts to the tables."""
+    root = scratch_dir(spark, "queue")
+    broken = F.when(F.col("id").cast("bigint") % 7 == 0, F.expr("left(value, length(value) - 1)"))
+    inputs.messages(inputs.tweets(spark, sf)).select(
+        "id", F.to_json(F.struct("id", "text", "source", "created_at")).alias("value")
+    ).select(F.coalesce(broken, F.col("value")).alias("value")).write.text(f"{root}/messages")
+    demo = files.demo_posts(_sample_pairs(spark, sf), 100).withColumn("time_stamp", F.lit("2024-01-01T00:00:00.000Z"))
+    jobs.score_queue(queue.read_stream(spark, "text", f"{root}/messages"), chosen_model(spark, sf), root,
+                     f"{root}/checkpoint", lambda: demo).awaitTermination()
+    scored = tables.read_table(spark, root, tables.CLEAN).select("id", "tweet", "tweet_wo_hashtag", F.lit(0).alias("is_bad"))
+    bad = tables.read_table(spark, root, tables.QUARANTINE).select(
+        F.regexp_extract("_bad", '"id":"([0-9]+)"', 1).alias("id"), F.lit(None).cast("string").alias("tweet"),
+        F.lit(None).cast("string").alias("tweet_wo_hashtag"), F.lit(1).alias("is_bad"))
+    return scored.unionByName(bad)
+
+
 def _shuffled_source(spark, sf, copies: int = 1) -> str:
     """The documents in eight files out of time order, each copy of a document elsewhere."""
     path = scratch_dir(spark, "shuffled")

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillstream.operators.layout import spread
 from quillstream.plans import scoring
-from quillstream.sources import queue, segments, tables
+from quillstream.sources import files, queue, segments, tables
 
 DAILY = ("day", "prediction", "word")
 DAILY_SCHEMA = "day date, prediction string, word string, frequency bigint"
@@ -69,6 +69,28 @@ def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint:
     return _start(posts, handle, checkpoint)
 
 
+def score_queue(messages: DataFrame, model: PipelineModel, root: str, checkpoint: str,
+                demo: Callable[[], DataFrame] | None = None, idf: str = "saved") -> StreamingQuery:
+    """From queue messages to the result tables in one job.
+
+    Messages are decoded once; broken ones go to quarantine, the others are cleaned and scored.
+    ``demo`` gives posts that join every batch, such as ``files.demo_posts`` of a sample.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = spread(batch).persist()
+        try:
+            tables.write_batch(batch.filter(~queue.is_usable()), root, tables.QUARANTINE, batch_id)
+            posts = queue.to_posts(batch.filter(queue.is_usable()))
+            if demo is not None:
+                posts = files.with_demo(posts, demo())
+            scoring.write_results(scoring.predict(posts, model, idf), root, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _start(queue.decode(messages), handle, checkpoint)
+
+
 def keep_once(posts: DataFrame, root: str, table: str, checkpoint: str,
               remember: str | None = None) -> StreamingQuery:
     """Write every post once, however often and in whatever order it is delivered.
