@@ -369,6 +369,11 @@ ORACLE: dict[str, str] = {
           SELECT sha256(length(key) || ':' || key || length(text) || ':' || text) AS id, text AS tweet FROM (
             SELECT CAST(doc_id AS VARCHAR) AS key, text FROM documents ORDER BY md5(key), key LIMIT 100))
         UNION ALL SELECT id, NULL, NULL, 1 FROM tweets WHERE CAST(id AS BIGINT) % 7 = 0"""),
+    "distinct_words_sketch": _over("results", """
+        SELECT prediction, count(*) AS n_words, count(DISTINCT word) AS distinct_words, 1 AS is_close
+        FROM words GROUP BY 1"""),
+    "top_words_sketch": _over("results", """
+        SELECT word, 1 AS is_within FROM words GROUP BY word ORDER BY count(*) DESC, word LIMIT 20"""),
     "stream_dedup": _over("tweets", "SELECT id, tweet FROM tweets"),
 }
 ORACLE["score_refit_check"] = ORACLE["score_check"]

@@ -16,7 +16,8 @@ from quillstream.functions import dates, labels
 from quillstream.functions import text as T
 from quillstream.functions.keys import content_id
 from quillstream.operators import features as feats
-from quillstream.operators import frequency, metrics, predictions, profile
+from quillstream.operators import frequency, metrics, predictions, profile, sketches
+from quillstream.operators.sizes import stored
 from quillstream.plans import exploration, retraining, scoring, stacked, training
 from quillstream.registry import inputs
 from quillstream.scratch import scratch_dir
@@ -702,6 +703,32 @@ def daily_word_freq(spark, sf):
     return counted.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+def _stored_sketches(spark, sf):
+    """Words and their stored daily sketches."""
+    words = scoring.word_table(_results(spark, sf))
+    return words, stored(sketches.word_sketches(words), "sketches")
+
+
+@query
+def distinct_words_sketch(spark, sf):
+    """Different words of each class, united from daily sketches, beside the exact number."""
+    words, kept = _stored_sketches(spark, sf)
+    exact = words.groupBy("prediction").agg(F.count_distinct("word").alias("exact"))
+    close = F.abs(F.col("distinct_words") - F.col("exact")) <= 0.02 * F.col("exact")
+    return sketches.distinct_words(kept, ("prediction",)).join(exact, "prediction").select(
+        "prediction", "n_words", F.col("exact").alias("distinct_words"), close.cast("int").alias("is_close"))
+
+
+@query
+def top_words_sketch(spark, sf):
+    """The 20 most frequent words, united from daily sketches, and whether each count is within its bound."""
+    words, kept = _stored_sketches(spark, sf)
+    top = sketches.top_words(kept)
+    exact = words.groupBy("word").agg(F.count(F.lit(1)).alias("exact"))
+    return exact.join(F.broadcast(top), "word").select(
+        "word", (F.abs(F.col("frequency") - F.col("exact")) <= F.col("max_error")).cast("int").alias("is_within"))
+
+
 # ---------------------------------------------------------------- retraining, streams
 
 
