@@ -154,8 +154,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vector: str = "embed
 
     queries = base.filter(is_query)
     known = pairs(queries).applyInPandas(_lists_of(k), "q bigint, best array<double>")
-    best = F.sort_array(F.flatten(F.collect_list("best")), asc=False)
-    cutoffs = known.groupBy("q").agg(F.get(best, F.lit(k - 1)).alias("cutoff"))
+    # The k-th best of all row blocks; each task first cuts its own scores to k for each query.
+    best = Window.partitionBy("q").orderBy(F.desc("score"))
+    cutoffs = known.select("q", F.explode("best").alias("score")).withColumn("_n", F.row_number().over(best)) \
+        .filter(F.col("_n") <= k).groupBy("q").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("cutoff"))
     cutoffs = Written(cutoffs, "cutoffs").df
     # With fewer than k known scores, every entry is wanted.
     queries = queries.join(cutoffs, F.col("uid") == F.col("q"), "left").withColumn(
