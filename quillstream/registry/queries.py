@@ -538,8 +538,8 @@ def train_baseline_metrics(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    """All 120 settings at full width, in fits that share their passes; every labelled row takes part."""
-    return stacked.grid_search(_prepared(spark, sf))
+    """All 120 settings over 4,096 terms, in fits that share their passes; every labelled row takes part."""
+    return stacked.grid_search(_prepared(spark, sf), num_features=2**12)
 
 
 def _recomputed(cleaned: DataFrame, model: PipelineModel, idf: str = "saved") -> DataFrame:
