@@ -79,3 +79,11 @@ def test_ratio_comes_without_a_join(spark, posts):
     labelled = posts.withColumn("label", F.lit(1))
     plan = feats.class_weights(labelled)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Cartesian" not in plan
+
+
+def test_tasks_of_a_fit_do_not_grow_with_the_tokens():
+    from quillstream.plans import training
+
+    assert [training.tasks_of(n, 12) for n in (0, 600_000, 8_000_000, 400_000_000)] == [1, 2, 12, 12]
+    # Very many tokens need more tasks to fit into memory.
+    assert training.tasks_of(5_000_000_000, 12) == 100
