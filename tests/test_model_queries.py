@@ -40,3 +40,25 @@ def test_full_rows_equal_scores_by_single_buckets(spark, sf_dir, name, idf):
 
 def test_stream_rows_equal_batch_rows(spark, sf_dir):
     assert entry_module.queries()["stream_score"](spark, sf_dir).filter("disagrees <> 0").count() == 0
+
+
+def test_full_rows_are_compared_too(spark, sf_dir):
+    queries = entry_module.queries()
+    for name in ("score", "score_refit", "format_predictions"):
+        rows = queries[name](spark, sf_dir)
+        checked = queries[f"{name}_check"](spark, sf_dir)
+        assert "disagrees" in rows.columns and rows.filter("disagrees <> 0").isEmpty()
+        assert rows.select(checked.columns).exceptAll(checked).isEmpty()
+
+
+def test_recomputed_scores_shuffle_one_row_for_each_id(spark, sf_dir):
+    cleaned = scoring.clean_posts(inputs.posts(inputs.tweets(spark, sf_dir)))
+    for idf in ("saved", "refit"):
+        # Without estimates and adaptive changes only the hint decides.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            rows = queries_module._recomputed(cleaned, queries_module.chosen_model(spark, sf_dir), idf)
+            plan = rows._jdf.queryExecution().sparkPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
