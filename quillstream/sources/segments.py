@@ -56,6 +56,11 @@ def read(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths)
 
 
+def count(spark: SparkSession, root: str) -> int:
+    """Number of segments that ``read`` takes."""
+    return len(chosen(complete(spark, root)))
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillstream.operators.layout import spread
+from quillstream.operators.layout import dealt, dealt_batch
 from quillstream.plans import scoring
 from quillstream.sources import files, queue, segments, tables
 
 DAILY = ("day", "prediction", "word")
+# Bytes of stored counts that one task sums.
+SEGMENT_TASK_BYTES = 4 << 20
 DAILY_SCHEMA = "day date, prediction string, word string, frequency bigint"
 
 
@@ -64,7 +66,7 @@ def score_stream(posts: DataFrame, model: PipelineModel, root: str, checkpoint:
         tables.write_batch(
             batch.filter("tweet IS NULL"), root, f"{tables.QUARANTINE}_text", batch_id
         )
-        scoring.write_results(scoring.predict(spread(batch), model, idf), root, batch_id)
+        scoring.write_results(scoring.predict(dealt_batch(batch), model, idf), root, batch_id)
 
     return _start(posts, handle, checkpoint)
 
@@ -78,7 +80,7 @@ def score_queue(messages: DataFrame, model: PipelineModel, root: str, checkpoint
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch).persist()
+        batch = dealt_batch(batch).persist()
         try:
             tables.write_batch(batch.filter(~queue.is_usable()), root, tables.QUARANTINE, batch_id)
             posts = queue.to_posts(batch.filter(queue.is_usable()))
@@ -130,7 +132,7 @@ def daily_words(posts: DataFrame, root: str, checkpoint: str,
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scored = (results(spread(batch)) if results else batch).select(
+        scored = (results(dealt_batch(batch)) if results else batch).select(
             "id", "raw_tweet", "time_stamp", "ts", "prediction", "tweet_wo_hashtag").persist()
         try:
             words = scored.filter("ts IS NOT NULL").select(
@@ -149,12 +151,16 @@ def daily_words(posts: DataFrame, root: str, checkpoint: str,
 
 
 def _summed(counts: DataFrame) -> DataFrame:
-    return counts.groupBy(*DAILY).agg(F.sum("frequency").alias("frequency"))
+    # Stored counts are small in files and large in a hash table, and few of them merge inside a
+    # split: they are placed by key first, in tasks of bounded size.
+    return dealt(counts, *DAILY, task_bytes=SEGMENT_TASK_BYTES).groupBy(*DAILY).agg(F.sum("frequency").alias("frequency"))
 
 
 def read_daily_words(spark, root: str) -> DataFrame:
     """Total of every group over all batches."""
-    return _summed(segments.read(spark, f"{root}/daily_words", DAILY_SCHEMA))
+    rows = segments.read(spark, f"{root}/daily_words", DAILY_SCHEMA)
+    # One segment is summed already.
+    return rows if segments.count(spark, f"{root}/daily_words") == 1 else _summed(rows)
 
 
 def append(stream: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
